@@ -32,6 +32,7 @@ class _Bracket:
     def __init__(self, name, k, m, lo, hi, n):
         self.name, self.k, self.m, self.lo, self.hi = name, k, m, lo, hi
         self.below, self.inside = 0, n
+        self.settled = False  # only two distinct values are left
 
     def condition(self):
         x = dbl(self.name)
@@ -77,6 +78,33 @@ def _narrow(df, brackets):
         b.inside = end - b.below
 
 
+def _drop_ends(df, brackets):
+    """Step past end values so frequent that the sketch cannot leave them."""
+    facts = []
+    for i, b in enumerate(brackets):
+        x, lo, hi = dbl(b.name), F.lit(b.lo), F.lit(b.hi)
+        facts += [
+            F.count_if(x == lo).alias(f"l{i}"),
+            F.count_if(x == hi).alias(f"h{i}"),
+            F.min(F.when(x > lo, x)).alias(f"n{i}"),
+            F.max(F.when(x < hi, x)).alias(f"p{i}"),
+        ]
+    row = df.agg(*facts).head()
+    for i, b in enumerate(brackets):
+        n_lo, n_hi, after_lo, before_hi = row[4 * i : 4 * i + 4]
+        first, last = b.below + n_lo, b.below + b.inside - n_hi
+        if b.m < first:
+            b.hi = b.lo
+        elif b.k >= last:
+            b.lo, b.below = b.hi, last
+        elif b.k < first:
+            b.hi, b.settled = after_lo, True
+        elif b.m >= last:
+            b.lo, b.below, b.settled = before_hi, b.k, True
+        else:
+            b.lo, b.hi, b.below, b.inside = after_lo, before_hi, first, last - first
+
+
 def _by_brackets(df, cols, probs, stats, bracket_rows):
     brackets: dict[tuple[str, float], _Bracket] = {}
     for c in cols:
@@ -86,13 +114,16 @@ def _by_brackets(df, cols, probs, stats, bracket_rows):
             brackets[(c, p)] = _Bracket(c, math.floor(pos), math.ceil(pos), lo, hi, n)
     open_ = list(brackets.values())
     while True:
-        open_ = [b for b in open_ if b.lo != b.hi and b.inside > bracket_rows]
+        open_ = [
+            b for b in open_ if b.lo != b.hi and b.inside > bracket_rows and not b.settled
+        ]
         if not open_:
             break
-        before = [(b.lo, b.hi) for b in open_]
+        before = {b: (b.lo, b.hi) for b in open_}
         _narrow(df, open_)
-        if before == [(b.lo, b.hi) for b in open_]:
-            break  # two neighbouring values share the bracket: group them below
+        stuck = [b for b in open_ if before[b] == (b.lo, b.hi) and not b.settled]
+        if stuck:
+            _drop_ends(df, stuck)
     out: dict[str, list] = {c: [] for c in cols}
     for c in cols:
         todo = [b for b in brackets.values() if b.name == c and b.lo != b.hi]
