@@ -12,7 +12,7 @@ from millrace.functions import labels
 from millrace.functions import numeric as N
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
-from millrace.operators.quantiles import exact_quantiles, long_values, modes, value_freq
+from millrace.operators.quantiles import exact_quantiles, modes, value_freq
 
 PROFILE_PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -35,10 +35,6 @@ def quantile_table(df: DataFrame, cols: list[str], probs: list[float], names: li
     return local(df, q, "`column` string, " + ", ".join(f"`{n}` double" for n in names))
 
 
-def count_distinct_rows(df: DataFrame):
-    return df.distinct().count()
-
-
 def overview(df: DataFrame) -> DataFrame:
     """Rows, columns, class counts, nulls, cells, duplicate rows (one row)."""
     numeric = S.numeric_columns(df)
@@ -47,7 +43,7 @@ def overview(df: DataFrame) -> DataFrame:
     groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
     facts = df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.alias("total_missing"))
     dup = groups.agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_rows"))
-    return facts.join(F.broadcast(dup)).select(  # one row against one row
+    return facts.withColumn("duplicate_rows", dup.scalar()).select(
         "n_rows",
         F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
         F.lit(len(numeric)).cast("bigint").alias("n_numeric"),
@@ -129,9 +125,7 @@ def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
 def value_counts(df: DataFrame, c: str) -> DataFrame:
     counts = df.groupBy(col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     total = df.agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(F.broadcast(total)).select(  # one-row side
-        "value", "count", (F.col("count") / F.col("n")).alias("share")
-    )
+    return counts.select("value", "count", (F.col("count") / total.scalar()).alias("share"))
 
 
 def missing_report(df: DataFrame) -> DataFrame:
@@ -248,7 +242,7 @@ def column_info(df: DataFrame, order_by: list[str]) -> DataFrame:
 
 def health_scores(df: DataFrame) -> DataFrame:
     miss = missing_report(df).agg(F.count_if(F.col("missing") == 0).alias("complete_columns"))
-    o = overview(df).join(F.broadcast(miss))  # one row against one row
+    o = overview(df).withColumn("complete_columns", miss.scalar())
     share = lambda a, b: F.round(F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0)) * 100, 2)
     return o.select(
         (100 - share("total_missing", "total_cells")).alias("completeness"),
@@ -268,16 +262,10 @@ def class_balance(df: DataFrame, target: str, limit: int = 20) -> DataFrame:
     """Counts and shares of the classes; empty when there are more than ``limit``."""
     counts = value_counts(df.where(col(target).isNotNull()), target)
     few = df.agg((F.count_distinct(col(target)) <= limit).alias("ok"))
-    return counts.join(F.broadcast(few)).where("ok").drop("ok")  # one-row side
+    return counts.where(few.scalar())
 
 
 def most_skewed(df: DataFrame, cols: list[str], k: int = 5, limit: float = 0.5) -> DataFrame:
     m = moments(df, cols).select("column", F.col("skew_b1").alias("skewness"))
     return m.where(F.abs("skewness") > limit).orderBy(F.desc(F.abs("skewness")), "column").limit(k)
 
-
-__all__ = [
-    "class_balance", "column_info", "describe_categorical", "describe_numeric", "distribution_breakdown",
-    "distribution_labels", "entropy", "full_profile", "health_scores", "long_values", "missing_report",
-    "moments", "most_skewed", "overview", "percentiles", "profile_mixed", "top_values", "value_counts",
-]

@@ -314,5 +314,6 @@ def infer_problem_type(df: DataFrame, target: str) -> DataFrame:
         F.regexp_replace("task", "classification_", "")
     )
     return task.select(
-        "target", family.alias("task_type"), severity.alias("severity"), F.lit(timed).alias("is_time_series")
-    ).join(F.broadcast(has_text))  # one row against one row
+        "target", family.alias("task_type"), severity.alias("severity"),
+        F.lit(timed).alias("is_time_series"), has_text.scalar().alias("has_text"),
+    )
