@@ -9,6 +9,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -110,16 +111,16 @@ def _rowwise(fn, *series: pd.Series) -> pd.Series:
     return pd.Series([one(*row) for row in zip(*series)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def corr_p(r: pd.Series, n: pd.Series) -> pd.Series:
     return _rowwise(corr_two_sided, r, n)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _rowwise(f_upper, f, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(x: pd.Series, dof: pd.Series) -> pd.Series:
     return _rowwise(chi2_upper, x, dof)
