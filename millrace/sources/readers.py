@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.numeric import col
 from millrace.operators import schema as S
@@ -41,21 +42,19 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return "UTF-16" if "\x00" in odd[0][0] else "ISO-8859-1"
 
 
-def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None, bad_rows: str = "keep", schema=None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None, bad_rows: str = "keep", schema=None, header: bool = True) -> DataFrame:
     """bad_rows: keep (with ``_corrupt_record``), drop, fail.  A given schema
     saves the inference pass over the data."""
     mode = {"keep": "PERMISSIVE", "drop": "DROPMALFORMED", "fail": "FAILFAST"}[bad_rows]
     options = dict(
-        header=True, sep=sep or sniff_delimiter(spark, path), mode=mode,
+        header=header, sep=sep or sniff_delimiter(spark, path), mode=mode,
         encoding=encoding or detect_encoding(spark, path),
     )
     if schema is None:
         schema = spark.read.csv(path, inferSchema=True, **options).schema
     elif isinstance(schema, str):
-        schema = spark.createDataFrame([], schema).schema
+        schema = T.StructType.fromDDL(schema)
     if bad_rows == "keep":
-        from pyspark.sql import types as T
-
         schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
         options["columnNameOfCorruptRecord"] = "_corrupt_record"
     return spark.read.csv(path, schema=schema, enforceSchema=True, **options)
