@@ -83,7 +83,14 @@ def equal_width_bin(x: Column, lo: float, hi: float, bins: int) -> Column:
         return F.when(x.isNotNull(), F.lit((bins - 1) // 2))
     width = (hi - lo) / bins
     raw = F.ceil((x - F.lit(float(lo))) / F.lit(width)) - 1
-    return F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)).cast("int")
+    inside = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)).cast("int")
+    return F.when(x.isNotNull(), inside)
+
+
+def left_closed_bin(x: Column, lo: float, hi: float, bins: int) -> Column:
+    """0-based index of left-closed bins; the maximum is in the last bin."""
+    raw = F.floor((x - F.lit(float(lo))) / F.lit((hi - lo) / bins))
+    return F.when(x.isNotNull(), F.least(raw, F.lit(bins - 1)).cast("int"))
 
 
 # ---- statistics across the columns of one row ---------------------------------

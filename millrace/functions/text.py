@@ -66,15 +66,36 @@ def truncate(c: Column, limit: int = 50, suffix: str = "...") -> Column:
     )
 
 
+def exact_round(x: Column, decimals: int) -> Column:
+    """Round the binary value itself, ties to even.
+
+    ``format_string`` rounds the shortest decimal form half up, so 186.065
+    (really 186.06499...) would gain a digit.  The product with 10^d is split
+    to learn on which side of a tie the value lies.
+    """
+    b = F.lit(float(10**decimals))
+    split = F.lit(134217729.0)  # 2^27 + 1
+    x_hi = x * split - (x * split - x)
+    x_lo = x - x_hi
+    p = x * b
+    error = x_lo * b + (x_hi * b - p)
+    low = F.floor(p).cast("double")
+    part = p - low
+    even = low % 2 == 0
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & ~even)))
+    return F.when(up, low + 1).otherwise(low) / b
+
+
 def format_number(c: Column, decimals: int = 2) -> Column:
     x = c.cast("double")
     fmt = f"%.{decimals}f"
     size = F.abs(x)
+    show = lambda v, unit="": F.format_string(fmt + unit, exact_round(v, decimals))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(size >= 1e6, F.format_string(fmt + "M", x / 1e6))
-        .when(size >= 1e3, F.format_string(fmt + "K", x / 1e3))
-        .otherwise(F.format_string(fmt, x))
+        .when(size >= 1e6, show(x / 1e6, "M"))
+        .when(size >= 1e3, show(x / 1e3, "K"))
+        .otherwise(show(x))
     )
 
 
@@ -85,8 +106,8 @@ def format_integer(c: Column) -> Column:
 def format_percentage(c: Column, decimals: int = 1) -> Column:
     x = c.cast("double")
     fmt = f"%.{decimals}f%%"
-    return F.when(F.abs(x) > 1, F.format_string(fmt, x)).when(
-        x.isNotNull(), F.format_string(fmt, x * 100)
+    return F.when(F.abs(x) > 1, F.format_string(fmt, exact_round(x, decimals))).when(
+        x.isNotNull(), F.format_string(fmt, exact_round(x * 100, decimals))
     )
 
 
@@ -96,7 +117,7 @@ def format_bytes(c: Column) -> Column:
     units = ["KB", "MB", "GB", "TB", "PB"]
     for i, unit in enumerate(units, start=1):
         scaled = x / float(1024**i)
-        text = F.format_string("%.2f " + unit, scaled)
+        text = F.format_string("%.2f " + unit, exact_round(scaled, 2))
         out = out.otherwise(text) if unit == units[-1] else out.when(scaled < 1024, text)
     return F.when(x.isNotNull(), out)
 

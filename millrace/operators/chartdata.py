@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.numeric import col, dbl
+from millrace.functions.numeric import col, dbl, left_closed_bin
 from millrace.operators import schema as S
 from millrace.operators.features import base_stats
 from millrace.operators.quantiles import exact_quantiles, value_freq
@@ -34,7 +34,7 @@ def histogram(df: DataFrame, cols: list[str], bins=30) -> DataFrame:
         if hi == lo:
             lo, hi = lo - 0.5, hi + 0.5
         width = (hi - lo) / k
-        b = F.least(F.floor((dbl(c) - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("int")
+        b = left_closed_bin(dbl(c), lo, hi, k)
         cells.append(F.struct(F.lit(c).alias("column"), b.alias("bin")))
         spine += [(c, i, lo + i * width, lo + (i + 1) * width) for i in range(k)]
     frame = df.sparkSession.createDataFrame(spine, "`column` string, bin int, lower double, upper double")
@@ -63,7 +63,7 @@ def kde(df: DataFrame, c: str, points: int = 100, bins: int = 512) -> DataFrame:
     h = s["sd"] * s["n"] ** -0.2
     lo, hi, n = s["min"], s["max"], float(s["n"])
     width = (hi - lo) / bins
-    b = F.least(F.floor((dbl(c) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
+    b = left_closed_bin(dbl(c), lo, hi, bins)
     counts = df.select(b.alias("b")).where("b is not null").groupBy("b").agg(F.count(F.lit(1)).cast("double").alias("w"))
     mid = F.lit(lo) + (F.col("b") + 0.5) * F.lit(width)
     packed = counts.agg(F.sort_array(F.collect_list(F.struct(mid.alias("m"), F.col("w")))).alias("bins"))

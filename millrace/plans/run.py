@@ -117,8 +117,10 @@ def _types(r: _Run):
 
 def _missing(r: _Run):
     choice = {c: s for c, s in r.cfg.impute_columns.items() if s != "auto"}
+    gaps = [c for c, share in clean.null_ratios(r.df).items() if share > 0]
+    # columns without a gap are fitted too: rows seen later may have one
     step = impute.fit_impute_auto(r.df, r.cfg.impute_rule, choice, skip=r.protected)
-    r.use(step, "missing", "filled", len(step.params["values"]))
+    r.use(step, "missing", "filled", len([c for c in gaps if c in step.params["values"]]))
 
 
 def _encoding(r: _Run):
