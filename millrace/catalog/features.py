@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from millrace.catalog.base import derived, dsql, load, query, r, tidy
 from millrace.operators import features, impute, outliers
 from millrace.plans.fitted import FittedPlan
@@ -167,14 +169,21 @@ def feat_rank_pct(spark, sf):
     r("select event_id, (rank() over (order by value) + (count(*) over (partition by value) - 1) / 2.0) / count(*) over () as value_rank from events", "value_rank", 6),
 )
 def feat_rank_pct_chunked(spark, sf):
-    """The route for many distinct values, forced: ranks per range chunk."""
-    from pyspark.sql import functions as F
-
+    """The route for many distinct values, forced: ranks per value range."""
     df = load(spark, sf, "events").select("event_id", "value")
-    table, _ = features.rank_table(df, "value", small=0)
-    n = df.count()
-    ranked = df.join(table, "value").select("event_id", (F.col("avg_rank") / F.lit(float(n))).alias("value_rank"))
-    return tidy(ranked, 6)
+    ranked = features.with_avg_rank(df, "value", "rank", few=0)
+    return tidy(ranked.select("event_id", (F.col("rank") / F.lit(float(df.count()))).alias("value_rank")), 6)
+
+
+@query(
+    "feat_rank_pct_heavy",
+    r("select event_id, (rank() over (order by v) + (count(*) over (partition by v) - 1) / 2.0) / count(*) over () as v_rank from (select event_id, case when event_id % 2 = 0 then 50 else value end as v from events)", "v_rank", 6),
+)
+def feat_rank_pct_heavy(spark, sf):
+    """Half of all rows share one value."""
+    df = load(spark, sf, "events").selectExpr("event_id", "case when event_id % 2 = 0 then 50 else value end as v")
+    ranked = features.with_avg_rank(df, "v", "rank", few=0)
+    return tidy(ranked.select("event_id", (F.col("rank") / F.lit(float(df.count()))).alias("v_rank")), 6)
 
 
 @query("feat_interactions", _rule_sql({"qty_x_price": "qty * price", "qty_x_disc": "qty * disc", "price_x_disc": "price * disc"}))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from millrace.functions import numeric as N
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
 from millrace.operators.quantiles import exact_quantiles
-from millrace.operators.skew import lookup, with_row_number
+from millrace.operators.skew import MAX_CHUNKS, lookup, with_row_number
 from millrace.plans.fitted import Step, applies
+from millrace.session import parallelism
 
-ROW_CELLS = 200_000
+RANK_VALUES = 50_000
 
 
 def base_stats(df: DataFrame, cols: list[str]) -> dict[str, dict]:
@@ -204,45 +207,59 @@ def row_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # ---- ranks --------------------------------------------------------------------
 
-def rank_table(df: DataFrame, c: str, small: int = ROW_CELLS) -> tuple[DataFrame, int]:
-    """(value, cnt, avg_rank) per distinct value, and the number of values.
-
-    Counts are combined map-side, so ties never meet in one task.  Up to
-    ``small`` distinct values one sorted window is enough; beyond it the running
-    count is built per range chunk of the value.
-    """
+def rank_table(df: DataFrame, c: str) -> DataFrame:
+    """(value, cnt, avg_rank) per distinct value of a column with few of them."""
     freq = df.select(dbl(c).alias("value")).where("value is not null").groupBy("value").agg(
         F.count(F.lit(1)).alias("cnt")
     )
-    distinct = freq.limit(small + 1).count()
-    if distinct <= small:
-        w = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        below = F.coalesce(F.sum("cnt").over(w), F.lit(0))
-        return freq.select("value", "cnt", (below + (F.col("cnt") + 1) / 2).alias("avg_rank")), distinct
-    return _chunked_ranks(freq), freq.count()
-
-
-def _chunked_ranks(freq: DataFrame) -> DataFrame:
-    from millrace.operators.skew import chunked
-
-    out, _ = chunked(freq, ["value"], [])
-    w = Window.partitionBy("__ch").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    chunk_order = Window.orderBy("__ch").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = out.groupBy("__ch").agg(F.sum("cnt").alias("m")).select(
-        "__ch", F.coalesce(F.sum("m").over(chunk_order), F.lit(0)).alias("off")
-    )  # one row per chunk
-    below = F.coalesce(F.sum("cnt").over(w), F.lit(0)) + F.col("off")
-    return out.join(F.broadcast(offsets), "__ch").select(
-        "value", "cnt", (below + (F.col("cnt") + 1) / 2).alias("avg_rank")
-    )
+    w = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("cnt").over(w), F.lit(0))
+    return freq.select("value", "cnt", (below + (F.col("cnt") + 1) / 2).alias("avg_rank"))
+
 
+def with_avg_rank(df: DataFrame, c: str, name: str, few: int = RANK_VALUES) -> DataFrame:
+    """Average-tie rank of the non-null values of a column.
 
-def with_avg_rank(df: DataFrame, c: str, name: str) -> DataFrame:
-    """Average-tie rank of the non-null values of a column."""
-    table, distinct = rank_table(df, c)
-    keyed = df.withColumn("__value", dbl(c))
-    table = table.select(F.col("value").alias("__value"), F.col("avg_rank").alias(name))
-    return lookup(keyed, table, ["__value"], rows=distinct).drop("__value")
+    Few distinct values: a counted dictionary, broadcast.  Many: rows are cut
+    into value ranges at quantiles (a value that fills a range gets its own),
+    ranked inside a range and shifted by the counts of the ranges before.  The
+    rows of a single-value range share one rank, so they are spread at random
+    and never meet in one task.
+    """
+    parts = min(parallelism(df.sparkSession), MAX_CHUNKS)
+    x = dbl(c)
+    probs = [i / parts for i in range(1, parts)] or [0.5]
+    distinct, q = df.agg(
+        F.approx_count_distinct(x, 0.02), F.percentile_approx(x, probs, 20 * parts)
+    ).head()
+    if distinct <= few:
+        table = rank_table(df, c).select(F.col("value").alias("__value"), F.col("avg_rank").alias(name))
+        return lookup(df.withColumn("__value", x), table, ["__value"], rows=distinct).drop("__value")
+
+    cuts = set(q)
+    heavy = {v for v in q if q.count(v) > 1}
+    cuts |= {float(np.nextafter(v, np.inf)) for v in heavy}
+    splits = [float("-inf"), *sorted(cuts), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="__value", outputCol="__range", handleInvalid="keep")
+    ranged = cut.transform(df.withColumn("__value", x)).withColumn(
+        "__range", F.coalesce(F.col("__range").cast("int"), F.lit(-1))
+    )
+    # one row per range, at most 2 * MAX_CHUNKS + 1
+    sizes = dict(ranged.where("__value is not null").groupBy("__range").count().collect())
+    before, seen = {}, 0
+    for i in sorted(sizes):
+        before[i], seen = seen, seen + sizes[i]
+    shift = F.element_at(F.array(*[F.lit(before.get(i, 0)) for i in range(len(splits))]), F.col("__range") + 1)
+    alone = sorted(splits.index(v) for v in heavy if splits.index(v) in sizes)
+    constant = F.col("__range").isin(alone) if alone else F.lit(False)
+    spread = F.when(constant | F.col("__value").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(0)
+    ranged = ranged.withColumn("__spread", spread.cast("int"))
+    w = Window.partitionBy("__range", "__spread").orderBy("__value")
+    ties = Window.partitionBy("__range", "__spread", "__value")
+    inside = F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2
+    counts = F.element_at(F.array(*[F.lit(sizes.get(i, 0)) for i in range(len(splits))]), F.col("__range") + 1)
+    rank = F.when(constant, shift + (counts + 1) / 2).otherwise(shift + inside)
+    return ranged.withColumn(name, F.when(F.col("__value").isNotNull(), rank)).drop("__value", "__range", "__spread")
 
 
 def rank_pct(df: DataFrame, c: str, name: str | None = None) -> DataFrame:

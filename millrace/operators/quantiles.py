@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import col, dbl
 
-EXACT_CELLS = 3_000_000
+EXACT_CELLS = 400_000
 BRACKET_ROWS = 20_000
 ACCURACY = 10_000
 
@@ -29,19 +29,42 @@ def _by_percentile(df, cols, probs):
 class _Bracket:
     """Rows with lo <= x <= hi hold order statistics k..m; ``below`` are under lo."""
 
-    def __init__(self, name, k, m, lo, hi, n):
-        self.name, self.k, self.m, self.lo, self.hi = name, k, m, lo, hi
+    def __init__(self, name, p, n):
+        self.name, self.p, self.position = name, p, (n - 1) * p
+        self.k, self.m = math.floor(self.position), math.ceil(self.position)
+        self.lo, self.hi = -math.inf, math.inf
         self.below, self.inside = 0, n
         self.settled = False  # only two distinct values are left
 
-    def condition(self):
-        x = dbl(self.name)
+    def covers(self, x):
+        if self.lo == -math.inf and self.hi == math.inf:
+            return x.isNotNull()
         return (x >= F.lit(self.lo)) & (x <= F.lit(self.hi))
 
 
-def _narrow(df, brackets):
-    """One pass proposes tighter bounds, a second one counts against them."""
-    slack = 2.0 / ACCURACY
+SLACK = 2.0 / ACCURACY
+
+
+def _first_proposals(df, cols, probs):
+    """Brackets and their first bounds: one sketch per column, one pass."""
+    ends = [e for p in probs for e in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
+    row = df.agg(
+        *[F.count(dbl(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.percentile_approx(dbl(c), ends, ACCURACY).alias(f"q{i}") for i, c in enumerate(cols)],
+    ).head()
+    out = []
+    for i, c in enumerate(cols):
+        n, q = row[i], row[len(cols) + i]
+        for j, p in enumerate(probs if n else ()):
+            b = _Bracket(c, p, n)
+            # tables of a few rows per slack: widen by one position on each side
+            wide = n * SLACK < 2
+            out.append((b, -math.inf if wide else q[2 * j], math.inf if wide else q[2 * j + 1]))
+    return out
+
+
+def _proposals(df, brackets):
+    """Tighter bounds from sketches over the rows each bracket still holds."""
     same_rows: dict[tuple, list[_Bracket]] = {}
     for b in brackets:
         same_rows.setdefault((b.name, b.lo, b.hi), []).append(b)
@@ -49,16 +72,20 @@ def _narrow(df, brackets):
     for group in same_rows.values():
         probs = []
         for b in group:
-            probs.append(max(0.0, (b.k - b.below) / b.inside - slack))
-            probs.append(min(1.0, (b.m - b.below + 1) / b.inside + slack))
-        rows = F.when(group[0].condition(), dbl(group[0].name))
-        sketches.append(F.percentile_approx(rows, probs, ACCURACY))
+            probs.append(max(0.0, (b.k - b.below) / b.inside - SLACK))
+            probs.append(min(1.0, (b.m - b.below + 1) / b.inside + SLACK))
+        x = dbl(group[0].name)
+        sketches.append(F.percentile_approx(F.when(group[0].covers(x), x), probs, ACCURACY))
     row = df.agg(*[s.alias(f"p{i}") for i, s in enumerate(sketches)]).head()
-    proposed = [
+    return [
         (b, row[i][2 * j], row[i][2 * j + 1])
         for i, group in enumerate(same_rows.values())
         for j, b in enumerate(group)
     ]
+
+
+def _confirm(df, proposed):
+    """Count against the proposed bounds; keep the sides the counts confirm."""
     counts = []
     for i, (b, lo, hi) in enumerate(proposed):
         x = dbl(b.name)
@@ -69,7 +96,6 @@ def _narrow(df, brackets):
     seen = df.agg(*counts).head()
     for i, (b, lo, hi) in enumerate(proposed):
         below, inside = seen[2 * i], seen[2 * i + 1]
-        # keep the sides of the proposal that the counts confirm
         end = b.below + b.inside
         if b.k >= below:
             b.lo, b.below = lo, below
@@ -105,62 +131,60 @@ def _drop_ends(df, brackets):
             b.lo, b.hi, b.below, b.inside = after_lo, before_hi, first, last - first
 
 
-def _by_brackets(df, cols, probs, stats, bracket_rows):
-    brackets: dict[tuple[str, float], _Bracket] = {}
-    for c in cols:
-        n, lo, hi = stats[c]
-        for p in probs if n else ():
-            pos = (n - 1) * p
-            brackets[(c, p)] = _Bracket(c, math.floor(pos), math.ceil(pos), lo, hi, n)
-    open_ = list(brackets.values())
+def _by_brackets(df, cols, probs, bracket_rows):
+    proposed = _first_proposals(df, cols, probs)
+    brackets = {(b.name, b.p): b for b, _, _ in proposed}
+    if proposed:
+        _confirm(df, proposed)
     while True:
         open_ = [
-            b for b in open_ if b.lo != b.hi and b.inside > bracket_rows and not b.settled
+            b for b in brackets.values() if b.lo != b.hi and b.inside > bracket_rows and not b.settled
         ]
         if not open_:
             break
         before = {b: (b.lo, b.hi) for b in open_}
-        _narrow(df, open_)
-        stuck = [b for b in open_ if before[b] == (b.lo, b.hi) and not b.settled]
+        _confirm(df, _proposals(df, open_))
+        stuck = [b for b in open_ if before[b] == (b.lo, b.hi)]
         if stuck:
             _drop_ends(df, stuck)
+
+    # grouped values of at most bracket_rows rows per bracket, all columns at once
+    found: dict[str, list] = {}
+    todo = [b for b in brackets.values() if b.lo != b.hi]
+    if todo:
+        cells = []
+        for c in sorted({b.name for b in todo}):
+            x = dbl(c)
+            near = F.lit(False)
+            for b in todo:
+                if b.name == c:
+                    near = near | b.covers(x)
+            cells.append(F.struct(F.lit(c).alias("c"), F.when(near, x).alias("v")))
+        rows = df.select(F.inline(F.array(*cells))).where("v is not null").groupBy("c", "v").count()
+        for r in sorted(rows.collect()):
+            found.setdefault(r["c"], []).append((r["v"], r["count"]))
+
     out: dict[str, list] = {c: [] for c in cols}
     for c in cols:
-        todo = [b for b in brackets.values() if b.name == c and b.lo != b.hi]
-        found = []
-        if todo:
-            # grouped values of at most bracket_rows rows per bracket
-            found = (
-                df.select(dbl(c).alias("v")).where(_inside_any(todo))
-                .groupBy("v").count().orderBy("v").collect()
-            )
         for p in probs:
             b = brackets.get((c, p))
             if b is None:
                 out[c].append(None)
                 continue
-            low, high = (_pick(b, k, found) for k in (b.k, b.m))
-            pos = (stats[c][0] - 1) * p
-            out[c].append(low + (high - low) * (pos - b.k))
+            low, high = (_pick(b, k, found.get(c, ())) for k in (b.k, b.m))
+            out[c].append(low + (high - low) * (b.position - b.k))
     return out
 
 
-def _inside_any(brackets):
-    v = F.col("v")
-    wanted = F.lit(False)
-    for b in brackets:
-        wanted = wanted | ((v >= F.lit(b.lo)) & (v <= F.lit(b.hi)))
-    return wanted
-
-
 def _pick(b, k, found):
     if b.lo == b.hi:
         return b.lo
     seen = b.below
-    for v, m in ((r[0], r[1]) for r in found if b.lo <= r[0] <= b.hi):
-        seen += m
-        if seen > k:
-            return v
+    for v, m in found:
+        if b.lo <= v <= b.hi:
+            seen += m
+            if seen > k:
+                return v
     raise AssertionError("order statistic outside its bracket")
 
 
@@ -178,11 +202,7 @@ def exact_quantiles(
     total = df.count() if total is None else total
     if total * len(cols) <= exact_cells:
         return _by_percentile(df, cols, probs)
-    row = df.agg(
-        *[e for c in cols for e in (F.count(dbl(c)), F.min(dbl(c)), F.max(dbl(c)))]
-    ).head()
-    stats = {c: tuple(row[3 * i : 3 * i + 3]) for i, c in enumerate(cols)}
-    return _by_brackets(df, cols, probs, stats, bracket_rows)
+    return _by_brackets(df, cols, probs, bracket_rows)
 
 
 def long_values(df: DataFrame, cols: list[str], kind: str = "string") -> DataFrame:

@@ -18,9 +18,8 @@ from millrace.functions import labels, pvalues
 from millrace.functions import numeric as N
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
-from millrace.operators.features import base_stats, rank_table, with_avg_rank
+from millrace.operators.features import base_stats, with_avg_rank
 from millrace.operators.quantiles import exact_quantiles, value_freq
-from millrace.operators.skew import lookup
 from millrace.operators.typing import column_routing_type
 
 JVM_PAIRS = 36
@@ -102,22 +101,8 @@ def corr_pairs(df: DataFrame, cols: list[str], pairs=None) -> DataFrame:
 def _spearman_of_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row: rho over the complete rows of a pair, ranked inside them."""
     both = df.select(dbl(a).alias("a"), dbl(b).alias("b")).where("a is not null and b is not null")
-    cells = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
-    ranked = cells
-    for side in ("a", "b"):
-        table, distinct = rank_table(both, side)
-        table = table.select(F.col("value").alias(side), F.col("avg_rank").alias(f"r{side}"))
-        ranked = lookup(ranked, table, [side], rows=distinct)
-    n, ra, rb = F.sum("w"), F.col("ra"), F.col("rb")
-    # the mean of average ranks is (n + 1) / 2; centring keeps the sums exact enough
-    total = both.agg(F.count(F.lit(1)).alias("n")).scalar()
-    centred = ranked.withColumn("mid", (total + 1) / 2)
-    da, db = ra - F.col("mid"), rb - F.col("mid")
-    w = F.col("w")
-    return centred.agg(
-        F.try_divide(F.sum(w * da * db), F.sqrt(F.sum(w * da * da) * F.sum(w * db * db))).alias("r"),
-        F.coalesce(n, F.lit(0)).cast("bigint").alias("n"),
-    ).select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "r", "n")
+    ranked = with_avg_rank(with_avg_rank(both, "a", "ra"), "b", "rb")
+    return corr_pairs(ranked, ["ra", "rb"]).select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "r", "n")
 
 
 def spearman_pairs(df: DataFrame, cols: list[str], pairs=None) -> DataFrame:
