@@ -128,9 +128,9 @@ def detect_id_columns(spark, sf):
     return tidy(clean.id_report(load(spark, sf, "customer")))
 
 
-@query("drop_id_columns", "select c_nationkey, c_acctbal from customer")
+@query("drop_id_columns", "select c_mktsegment, c_acctbal from customer")
 def drop_id_columns(spark, sf):
-    df = load(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    df = load(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     return clean.fit_drop_ids(df, keep=["c_acctbal"]).transform(df)
 
 
@@ -309,7 +309,8 @@ def datetime_parts(spark, sf):
 
 @query(
     "detect_column_type",
-    """select * from (values ('c_custkey', 'id'), ('c_name', 'categorical'), ('c_nationkey', 'numeric'), ('c_mktsegment', 'categorical')) v("column", semantic)
+    """select * from (values ('c_custkey', 'id'), ('c_name', 'categorical'), ('c_mktsegment', 'categorical')) v("column", semantic)
+       union all select 'c_nationkey', case when count(distinct c_nationkey) >= count(*) * 0.1 then 'id' else 'numeric' end from customer
        union all select 'c_acctbal', case when count(distinct c_acctbal) > 10 and count(distinct c_acctbal) >= count(*) * 0.1 and max(c_acctbal) > 2 * count(distinct c_acctbal) then 'id' else 'numeric' end from customer
        union all select 'c_long', case when count(distinct c_long) * 1.0 / count(c_long) >= 0.5 and avg(length(c_long)) > 100 then 'text' else 'categorical' end from (select repeat(c_name, 8) as c_long from customer)""",
 )

@@ -237,7 +237,8 @@ def column_info(spark, sf):
 @query(
     "column_type_counts",
     """select semantic, count(*) as n from (
-       select * from (values ('id'), ('numeric'), ('categorical'), ('categorical')) v(semantic)
+       select * from (values ('id'), ('categorical'), ('categorical')) v(semantic)
+       union all select case when count(distinct c_nationkey) >= count(*) * 0.1 then 'id' else 'numeric' end from customer
        union all select case when count(distinct c_acctbal) > 10 and count(distinct c_acctbal) >= count(*) * 0.1 and max(c_acctbal) > 2 * count(distinct c_acctbal) then 'id' else 'numeric' end from customer) group by 1""",
 )
 def column_type_counts(spark, sf):

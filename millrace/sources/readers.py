@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import os
 from functools import reduce
 
@@ -30,16 +31,16 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line fails to decode; NUL characters mean UTF-16.
+    """UTF-8 unless some line is invalid; NUL characters mean UTF-16.
 
-    Spark's text reader replaces undecodable bytes by U+FFFD, so this is a
-    filter with an early stop over the text; pass ``encoding`` to skip it.
+    A filter with an early stop over the text; pass ``encoding`` to skip it.
     """
     lines = spark.read.text(path)
-    odd = lines.where(F.col("value").contains("�") | F.col("value").contains("\x00")).limit(1).collect()
+    nul = F.col("value").contains("\x00")
+    odd = lines.where(~F.is_valid_utf8("value") | nul).select(nul.alias("wide")).limit(1).collect()
     if not odd:
         return "UTF-8"
-    return "UTF-16" if "\x00" in odd[0][0] else "ISO-8859-1"
+    return "UTF-16" if odd[0]["wide"] else "ISO-8859-1"
 
 
 def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None, bad_rows: str = "keep", schema=None, header: bool = True) -> DataFrame:
@@ -161,11 +162,31 @@ def peek(spark: SparkSession, source, n: int = 5, order_by: list[str] = ()) -> D
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False, digest: str = "md5") -> DataFrame:
-    """(path, name, size, digest) of the files that match a glob."""
+    """(path, name, size, digest) of the files that match a glob.
+
+    Contents are read and hashed by the tasks.  Spark's file sources leave out
+    empty files, so those are added from the listing.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", str(recursive).lower()).load(path)
     )
+    empty = spark.createDataFrame(
+        [(p,) for p in _empty_files(spark, path, pattern, recursive)], "path string"
+    ).select("path", F.lit(0).cast("bigint").alias("length"), F.lit("").cast("binary").alias("content"))
+    files = files.select("path", "length", "content").unionByName(empty)
     content = F.col("content")
     hashed = {"md5": F.md5(content), "sha1": F.sha1(content), "sha256": F.sha2(content, 256)}[digest]
     return files.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.col("length").alias("size"), hashed.alias("digest"))
+
+
+def _empty_files(spark: SparkSession, path: str, pattern: str, recursive: bool) -> list[str]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, recursive)
+    out = []
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if status.getLen() == 0 and fnmatch.fnmatch(name, pattern) and not name.startswith(("_", ".")):
+            out.append(status.getPath().toString())
+    return out
