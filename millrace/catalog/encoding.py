@@ -262,9 +262,9 @@ def dictionary_lookup(spark, sf):
     return encode.dictionary_lookup(df, "o_orderstatus", {"F": 10, "O": 20}, 0)
 
 
-@query("dictionary_lookup_salted", "select o_orderkey, count(*) over (partition by o_orderpriority) as n from orders")
-def dictionary_lookup_salted(spark, sf):
-    """The route beyond the broadcast bound, forced: hot keys are salted."""
+@query("dictionary_lookup_hot", "select o_orderkey, count(*) over (partition by o_orderpriority) as n from orders")
+def dictionary_lookup_hot(spark, sf):
+    """The route beyond the broadcast bound, forced: only hot entries are broadcast."""
     from millrace.operators.skew import lookup
 
     df = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

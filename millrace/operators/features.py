@@ -223,8 +223,7 @@ def with_avg_rank(df: DataFrame, c: str, name: str, few: int = RANK_VALUES) -> D
     Few distinct values: a counted dictionary, broadcast.  Many: rows are cut
     into value ranges at quantiles (a value that fills a range gets its own),
     ranked inside a range and shifted by the counts of the ranges before.  The
-    rows of a single-value range share one rank, so they are spread at random
-    and never meet in one task.
+    rows of a single-value range share one known rank and are not shuffled.
     """
     parts = min(parallelism(df.sparkSession), MAX_CHUNKS)
     x = dbl(c)
@@ -251,15 +250,14 @@ def with_avg_rank(df: DataFrame, c: str, name: str, few: int = RANK_VALUES) -> D
         before[i], seen = seen, seen + sizes[i]
     shift = F.element_at(F.array(*[F.lit(before.get(i, 0)) for i in range(len(splits))]), F.col("__range") + 1)
     alone = sorted(splits.index(v) for v in heavy if splits.index(v) in sizes)
-    constant = F.col("__range").isin(alone) if alone else F.lit(False)
-    spread = F.when(constant | F.col("__value").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(0)
-    ranged = ranged.withColumn("__spread", spread.cast("int"))
-    w = Window.partitionBy("__range", "__spread").orderBy("__value")
-    ties = Window.partitionBy("__range", "__spread", "__value")
+    alike = F.col("__value").isNull() | F.col("__range").isin(alone)
+    size = F.element_at(F.array(*[F.lit(sizes.get(i, 0)) for i in range(len(splits))]), F.col("__range") + 1)
+    same = ranged.where(alike).withColumn(name, F.when(F.col("__value").isNotNull(), shift + (size + 1) / 2))
+    w = Window.partitionBy("__range").orderBy("__value")
+    ties = Window.partitionBy("__range", "__value")
     inside = F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2
-    counts = F.element_at(F.array(*[F.lit(sizes.get(i, 0)) for i in range(len(splits))]), F.col("__range") + 1)
-    rank = F.when(constant, shift + (counts + 1) / 2).otherwise(shift + inside)
-    return ranged.withColumn(name, F.when(F.col("__value").isNotNull(), rank)).drop("__value", "__range", "__spread")
+    mixed = ranged.where(~alike).withColumn(name, shift + inside)
+    return same.unionByName(mixed).drop("__value", "__range")
 
 
 def rank_pct(df: DataFrame, c: str, name: str | None = None) -> DataFrame:

@@ -1,15 +1,18 @@
 """Kendall tau-b without comparing all pairs of rows.
 
-Equal (x, y) rows are first merged into weighted cells.  Both axes are cut into
-blocks at value quantiles, so every pair of cells falls in exactly one class:
+Equal (x, y) rows are first merged into weighted cells.  A set of cells that is
+too large for one task is cut at value quantiles on both axes, so every pair of
+its cells falls in exactly one class:
 
 * different x block and different y block: counted on the block grid;
-* same x block: counted inside the block;
-* same y block but different x block: counted inside the y block with the x
-  block number in place of x.
-
-Counting inside a block is O(m log m).  A value so frequent that it fills a
-quantile range gets a block of its own, in which every pair is tied.
+* same x block: a smaller problem of the same kind;
+* same y block but different x block: a smaller problem, with the x block
+  number in place of x.
+
+Every quantile value is a block of its own, in which all pairs are tied, so a
+value that holds a third of the rows never becomes a large problem.  All
+problems of one level are worked on together; a problem that fits one task is
+counted there in O(m log m).
 """
 
 from __future__ import annotations
@@ -19,14 +22,15 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import dbl
+from millrace.operators.skew import BROADCAST_ROWS
+from millrace.session import ensure_checkpoint_dir
 
 BLOCK_CELLS = 100_000
-MAX_BLOCKS = 2_048
+CUTS = 32
 
 
 def signed_pairs(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
@@ -59,15 +63,6 @@ def signed_pairs(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return total
 
 
-def _splits(df: DataFrame, c: str, blocks: int) -> list[float]:
-    probs = [i / blocks for i in range(1, blocks)] or [0.5]
-    q = df.agg(F.percentile_approx(c, probs, 20 * blocks)).head()[0] or []
-    cuts = set(q)
-    for v in {v for v in q if q.count(v) > 1} if blocks > 1 else ():
-        cuts.add(float(np.nextafter(v, np.inf)))
-    return [float("-inf"), *sorted(cuts or {0.0}), float("inf")]
-
-
 def _grid_score(grid: pd.DataFrame) -> float:
     """Pairs in different blocks on both axes, from 2-d running sums."""
     m = grid.pivot_table(index="bx", columns="by", values="w", aggfunc="sum", fill_value=0.0).to_numpy()
@@ -82,47 +77,70 @@ def _grid_score(grid: pd.DataFrame) -> float:
     return float(np.sum(m * (conc - disc)))
 
 
+def _count_small(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"s": [signed_pairs(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy())]})
+
+
+def _count_grid(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"s": [_grid_score(pdf)]})
+
+
+def _sum(parts: DataFrame) -> float:
+    return parts.agg(F.coalesce(F.sum("s"), F.lit(0.0))).head()[0]
+
+
+def _score(cells: DataFrame, block_cells: int) -> float:
+    """Concordant minus discordant weight over all pairs of cells."""
+    ensure_checkpoint_dir(cells.sparkSession)
+    probs = [i / CUTS for i in range(CUTS + 1)]
+    level = cells.withColumn("g", F.lit("")).checkpoint()
+    total = 0.0
+    while True:
+        sizes = level.groupBy("g").agg(
+            F.count(F.lit(1)).alias("m"),
+            F.percentile_approx("x", probs, 20 * CUTS).alias("qx"),
+            F.percentile_approx("y", probs, 20 * CUTS).alias("qy"),
+        )
+        small = sizes.where(F.col("m") <= block_cells).select("g")
+        large = sizes.where(F.col("m") > block_cells).select("g", "qx", "qy")
+        total += _sum(level.join(small, "g", "left_semi").groupBy("g").applyInPandas(_count_small, "s double"))
+        count = large.count()
+        if not count:
+            return total
+        if count <= BROADCAST_ROWS // CUTS:
+            large = F.broadcast(large)
+        # odd blocks hold exactly one quantile value, even blocks lie between two
+        block = lambda v, q: (F.size(F.filter(q, lambda b: b < v)) + F.size(F.filter(q, lambda b: b <= v))).cast("double")
+        cut = level.join(large, "g").select(
+            "g", "x", "y", "w",
+            block(F.col("x"), F.array_distinct("qx")).alias("bx"), block(F.col("y"), F.array_distinct("qy")).alias("by"),
+        )
+        grid = cut.groupBy("g", "bx", "by").agg(F.sum("w").alias("w"))  # at most (2 CUTS + 3)^2 per problem
+        total += _sum(grid.groupBy("g").applyInPandas(_count_grid, "s double"))
+        name = lambda axis: F.concat("g", F.lit(axis), F.col(f"b{axis}").cast("int").cast("string"))
+        mixed = lambda axis: cut.where(F.col(f"b{axis}") % 2 == 0)
+        same_x = mixed("x").select("x", "y", "w", name("x").alias("g"))
+        same_y = mixed("y").groupBy(name("y").alias("g"), F.col("bx").alias("x"), "y").agg(F.sum("w").alias("w"))
+        level = same_x.unionByName(same_y.select("x", "y", "w", "g")).checkpoint()
+
+
 def kendall_pair(df: DataFrame, a: str, b: str, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """One row (col_a, col_b, r, n): tau-b over the complete rows."""
-    spark = df.sparkSession
     cells = (
         df.select(dbl(a).alias("x"), dbl(b).alias("y")).where("x is not null and y is not null")
         .groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
     )
-    m = cells.count()
-    blocks = min(MAX_BLOCKS, max(2, -(-m // block_cells)))
-    cut = cells
-    for side in ("x", "y"):
-        cut = Bucketizer(splits=_splits(cells, side, blocks), inputCol=side, outputCol=f"b{side}").transform(cut)
-    cut = cut.select("x", "y", "w", F.col("bx").cast("int").alias("bx"), F.col("by").cast("int").alias("by"))
-
-    # at most (2 * MAX_BLOCKS)^2 block counts reach the driver
-    grid = cut.groupBy("bx", "by").agg(F.sum("w").alias("w")).toPandas()
-    score = _grid_score(grid) if len(grid) else 0.0
-
-    def within(x, y):
-        def count(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"s": [signed_pairs(pdf[x].to_numpy(), pdf[y].to_numpy(), pdf["w"].to_numpy())]})
-        return count
-
-    def spread(block, value):
-        # a block with one value has only ties on that axis: nothing to send
-        span = cut.groupBy(block).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-        return cut.join(span.where("lo < hi").select(block), block, "left_semi")
-
-    inside_x = spread("bx", "x").groupBy("bx").applyInPandas(within("x", "y"), "s double")
-    inside_y = spread("by", "y").groupBy("by").applyInPandas(within("bx", "y"), "s double")
-    score += inside_x.unionByName(inside_y).agg(F.coalesce(F.sum("s"), F.lit(0.0))).head()[0]
 
     def ties(side):
         t = cells.groupBy(side).agg(F.sum("w").alias("t"))
-        return t.agg(F.coalesce(F.sum(F.col("t") * (F.col("t") - 1) / 2), F.lit(0.0)), F.coalesce(F.sum("t"), F.lit(0.0))).head()
+        pairs = F.col("t") * (F.col("t") - 1) / 2
+        return t.agg(F.coalesce(F.sum(pairs), F.lit(0.0)), F.coalesce(F.sum("t"), F.lit(0.0))).head()
 
     (tx, n), (ty, _) = ties("x"), ties("y")
     pairs = n * (n - 1) / 2
     scale = ((pairs - tx) * (pairs - ty)) ** 0.5
-    r = score / scale if scale > 0 else None
-    return spark.createDataFrame([(a, b, r, int(n))], "col_a string, col_b string, r double, n bigint")
+    r = _score(cells, block_cells) / scale if scale > 0 else None
+    return df.sparkSession.createDataFrame([(a, b, r, int(n))], "col_a string, col_b string, r double, n bigint")
 
 
 def kendall_pairs(df: DataFrame, cols: list[str], pairs=None) -> DataFrame:

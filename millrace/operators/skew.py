@@ -3,7 +3,7 @@
 * hot keys are found with a bounded one-pass sketch (``freqItems``);
 * a window over a hot key is cut into chunks of its order column, and a small
   carry table (one row per hot key and chunk) links the chunks;
-* a left join against a dictionary salts the hot keys.
+* a left join against a dictionary broadcasts the entries of hot keys only.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from millrace.functions.numeric import col
 from millrace.session import ensure_checkpoint_dir, parallelism
 
 BROADCAST_ROWS = 200_000
-SALTS = 64
 MIN_SUPPORT = 1e-4
 MAX_CHUNKS = 2_000
 
@@ -201,7 +200,9 @@ def lookup(
     """Left join against a unique-keyed dictionary.
 
     Broadcast while ``rows`` (the counted dictionary size) stays under the
-    bound; beyond it a shuffle join in which the hot keys are salted.
+    bound.  Beyond it only the entries of hot keys are broadcast (there are at
+    most 1/support of them), and the remaining rows, whose keys are all small,
+    meet the dictionary in a shuffle join.
     """
     rows = dictionary.count() if rows is None else rows
     if rows <= broadcast_rows:
@@ -210,8 +211,6 @@ def lookup(
     if not hot:
         return df.join(dictionary, on, "left")
     is_hot = _key_hash(on).isin(hot)
-    spread = F.pmod(F.xxhash64(*[col(c) for c in df.columns], F.monotonically_increasing_id()), F.lit(SALTS))
-    left = df.withColumn("__salt", F.when(is_hot, spread.cast("int")).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = dictionary.withColumn("__salt", F.explode(copies))
-    return left.join(right, [*on, "__salt"], "left").drop("__salt")
+    top = df.where(is_hot).join(F.broadcast(dictionary.where(is_hot)), on, "left")
+    rest = df.where(~is_hot).join(dictionary.where(~is_hot), on, "left")
+    return top.unionByName(rest)

@@ -33,21 +33,22 @@ def _cut_hashes(df: DataFrame, h: Column, group: Column, wanted: dict) -> dict:
     todo = {(g, k): ("", k) for g, ks in wanted.items() for k in ks if k > 0}
     done = {(g, k): "" for g, ks in wanted.items() for k in ks if k <= 0}
     depth = 0
+    step = PREFIX if len(wanted) <= 50 else PREFIX - 1
     while todo:
-        depth += PREFIX
+        depth += step
         prefixes = sorted({(g, p) for (g, _), (p, _) in todo.items()}, key=str)
         near = rows
-        if depth > PREFIX:
+        if depth > step:
             near = rows.where(
-                F.concat_ws("\x00", F.col("g").cast("string"), F.substring("h", 1, depth - PREFIX)).isin(
+                F.concat_ws("\x00", F.col("g").cast("string"), F.substring("h", 1, depth - step)).isin(
                     [f"{g}\x00{p}" if g is not None else p for g, p in prefixes]
                 )
             )
-        # at most 16^PREFIX groups per prefix that holds a cut
+        # at most 16^step groups per class or prefix that holds a cut
         counts: dict = {}
         grouped = near.groupBy("g", F.substring("h", 1, depth).alias("p")).count()
         for r in sorted(grouped.collect(), key=lambda r: r["p"]):
-            counts.setdefault((r["g"], r["p"][: depth - PREFIX]), []).append((r["p"], r["count"]))
+            counts.setdefault((r["g"], r["p"][: depth - step]), []).append((r["p"], r["count"]))
         small = {}
         for (g, k), (prefix, left) in list(todo.items()):
             for p, n in counts.get((g, prefix), []):

@@ -76,7 +76,7 @@ def _base(df: DataFrame, cols: list[str]) -> DataFrame:
         n, g1, g2 = F.count(x), F.skewness(x), F.kurtosis(x)
         return {
             "n_total": F.count(F.lit(1)), "n": n, "n_zero": F.count_if(x == 0),
-            "mean": F.avg(x), "std": F.stddev_samp(x), "variance": F.var_samp(x),
+            "mean": F.avg(x), "std": F.sqrt(F.var_samp(x)), "variance": F.var_samp(x),
             "min": F.min(x), "max": F.max(x),
             "skew_g1": N.skew_sample(g1, n), "kurt_g2": N.kurt_sample(g2, n),
             "skew_b1": N.skew_b1(g1, n), "kurt_b2": N.kurt_b2(g2, n),

@@ -206,7 +206,7 @@ def test_interpolate_edges(spark):
     assert got == {1: None, 2: 1.0, 3: 2.0, 4: 3.0, 5: 4.0, 6: 4.0}
 
 
-def test_salted_lookup_equals_plain(spark):
+def test_hot_key_lookup_equals_plain(spark):
     left = spark.createDataFrame([("hot",)] * 500 + [(f"k{i}",) for i in range(50)] + [(None,)] * 20, "k string")
     right = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i + 2) for i in range(50)], "k string, code int")
     a = skew.lookup(left, right, ["k"], broadcast_rows=0)
