@@ -207,7 +207,15 @@ def encode_ordinal(spark, sf):
 _RP = dsql("rough_parts")
 
 
-@query("encode_multihot")
+TAGS = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod", "small", "widget"]
+
+
+@query(
+    "encode_multihot",
+    "select p_partkey, "
+    + ", ".join(f"coalesce(list_contains(string_split(loose_tags, ', '), '{t}'), false)::int as loose_tags_{t}" for t in TAGS)
+    + f" from {_RP}",
+)
 def encode_multihot_rows(spark, sf):
     df = derived(spark, sf, "rough_parts").select("p_partkey", "loose_tags")
     return _run(df, encode.fit_multihot(df, "loose_tags"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import functions as F
@@ -39,17 +40,50 @@ def _scores(spark, sf, name, target, task, n_classes=2):
 
 for _key, _name, _target, _k in [
     ("ml_logistic", "logistic", "tier", 3), ("ml_tree_cls", "tree", "tier", 3), ("ml_forest_cls", "forest", "tier", 3),
-    ("ml_gbt_cls", "gbt", "big", 2), ("ml_naive_bayes", "naive_bayes", "tier", 3), ("ml_svc", "svc", "big", 2), ("ml_mlp", "mlp", "tier", 3),
+    ("ml_gbt_cls", "gbt", "big", 2), ("ml_svc", "svc", "big", 2), ("ml_mlp", "mlp", "tier", 3),
 ]:
     query(_key)(lambda spark, sf, n=_name, t=_target, k=_k: _scores(spark, sf, n, t, "classification", k))
 
 for _key, _name in [
-    ("ml_linear", "linear"), ("ml_ridge", "ridge"), ("ml_lasso", "lasso"), ("ml_elasticnet", "elasticnet"),
+    ("ml_ridge", "ridge"), ("ml_lasso", "lasso"), ("ml_elasticnet", "elasticnet"),
     ("ml_tree_reg", "tree"), ("ml_forest_reg", "forest"), ("ml_gbt_reg", "gbt"),
 ]:
     query(_key)(lambda spark, sf, n=_name: _scores(spark, sf, n, "amount", "regression"))
 
 
+@query(
+    "ml_linear",
+    r("""select regr_slope(y, x) * 1000 as slope, regr_intercept(y, x) as intercept, regr_r2(y, x) as r2, count(*) as n
+       from (select o_totalprice as x, o_totalprice / 1000 + month(o_orderdate) * 3 as y from orders)""", "slope, intercept, r2"),
+)
+def ml_linear(spark, sf):
+    """Least squares of one feature, checked by its closed form."""
+    df = _orders(spark, sf)
+    model = ml.make_estimator("linear", "regression").fit(ml.assemble(df, ["o_totalprice"], "amount"))
+    pred = model.transform(ml.assemble(df, ["o_totalprice"], "amount"))
+    out = ml.regression_metrics(pred).select(
+        F.lit(float(model.coefficients[0]) * 1000).alias("slope"), F.lit(float(model.intercept)).alias("intercept"), "r2", "n"
+    )
+    return tidy(out)
+
+
+@query(
+    "ml_naive_bayes",
+    r("""select tier as class, unnest(['o_totalprice', 'o_custkey', 'o_month']) as feature, unnest([a, b, c]) as mean, n / sum(n) over () as prior from (
+       select case when o_totalprice < 100000 then 'low' when o_totalprice < 300000 then 'mid' else 'high' end as tier, avg(o_totalprice) as a, avg(o_custkey) as b, avg(month(o_orderdate)) as c, count(*) as n from orders group by 1)""", "mean, prior", 3),
+)
+def ml_naive_bayes(spark, sf):
+    """Class priors and means of the fitted Gaussian model."""
+    data, names = ml.index_label(ml.assemble(_orders(spark, sf), ORDER_FEATURES, "tier"))
+    model = ml.make_estimator("naive_bayes", "classification", len(names)).fit(data)
+    prior = [float(x) for x in model.pi.toArray()]
+    rows = [
+        (c, f, float(model.theta[i, j]), math.exp(prior[i]))
+        for i, c in enumerate(names) for j, f in enumerate(ORDER_FEATURES)
+    ]
+    return tidy(spark.createDataFrame(rows, "class string, feature string, mean double, prior double"), 3)
+
+
 # ---- nearest neighbours -------------------------------------------------------
 
 _NEAR = """(select a.vec_id as query_id, b.vec_id as id, b.label, round(list_distance(a.embedding::double[], b.embedding::double[]), 9) as d,

@@ -126,7 +126,7 @@ def write_split_dataset(spark, sf):
     return back.select("c_custkey", "c_acctbal", "split")
 
 
-@query("write_results_json")
+@query("write_results_json", "select o_orderpriority, count(*) as n from orders group by 1")
 def write_results_json(spark, sf):
     board = load(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
     return spark.read.json(writers.write_results_json(board, scratch_dir(spark, "results")))

@@ -246,6 +246,9 @@ def full_run(spark: SparkSession, source, config: PrepConfig, with_models: bool
     """Load, preprocess, treat outliers, select, split, analyse, build models."""
     df = read_any(spark, source)
     prepared = preprocess_only(df, config)
+    # the prepared table is read by every analysis and model below
+    ensure_checkpoint_dir(spark)
+    prepared.df = prepared.df.checkpoint()
     target, keys = config.target, config.keys
     tables = analyze_only(prepared.df, target, config)
     data = prepared.df

@@ -33,7 +33,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(
