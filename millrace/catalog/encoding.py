@@ -85,11 +85,12 @@ def impute_ffill_global(spark, sf):
                      b as (partition by user_id order by rn rows between current row and unbounded following))
         select event_id, coalesce(v, v0 + (v1 - v0) * (rn - r0) / nullif(r1 - r0, 0), v0) as v from k""",
         "v",
+        6,
     ),
 )
 def impute_interpolate(spark, sf):
     df = derived(spark, sf, "gappy_events")
-    return tidy(impute.interpolate(df, ["v"], ["ts", "event_id"], ["user_id"]).select("event_id", "v"))
+    return tidy(impute.interpolate(df, ["v"], ["ts", "event_id"], ["user_id"]).select("event_id", "v"), 6)
 
 
 def _auto(spark, sf, rule, cols=("o_orderkey", "price", "prio"), **kw):

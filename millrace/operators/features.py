@@ -27,16 +27,22 @@ def base_stats(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     aggs = []
     for i, c in enumerate(cols):
         x = dbl(c)
-        n = F.count(x)
         aggs.append(
             F.struct(
-                n.alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"),
-                F.stddev_pop(x).alias("sd_pop"), F.min(x).alias("min"), F.max(x).alias("max"),
-                N.skew_sample(F.skewness(x), n).alias("skew"),
+                F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var"),
+                F.min(x).alias("min"), F.max(x).alias("max"), F.skewness(x).alias("g1"),
             ).alias(f"s{i}")
         )
     row = df.agg(*aggs).head()
-    return {c: row[i].asDict() for i, c in enumerate(cols)}
+    out = {}
+    for i, c in enumerate(cols):
+        s = row[i].asDict()
+        n, var, g1 = s["n"], s.pop("var"), s.pop("g1")
+        s["sd_pop"] = None if var is None else var**0.5
+        s["sd"] = (var * n / (n - 1)) ** 0.5 if n > 1 else None
+        s["skew"] = g1 * (n * (n - 1)) ** 0.5 / (n - 2) if g1 is not None and n > 2 else None
+        out[c] = s
+    return out
 
 
 # ---- scaling ------------------------------------------------------------------

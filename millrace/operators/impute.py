@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
+from millrace.operators.features import base_stats
 from millrace.operators.quantiles import exact_quantiles, modes
 from millrace.operators.skew import fill_nearest, with_row_number
 from millrace.plans.fitted import Step, applies
@@ -58,17 +59,6 @@ def _modes(df, cols):
     return out
 
 
-def _skews(df, cols):
-    row = df.agg(
-        *[e for i, c in enumerate(cols) for e in (F.skewness(dbl(c)).alias(f"s{i}"), F.count(dbl(c)).alias(f"n{i}"))]
-    ).head()
-    out = {}
-    for i, c in enumerate(cols):
-        g, n = row[2 * i], row[2 * i + 1]
-        out[c] = None if g is None or n < 3 else g * (n * (n - 1)) ** 0.5 / (n - 2)
-    return out
-
-
 def fit_impute(df: DataFrame, strategies: dict[str, str]) -> Step:
     """Per-column strategy: mean, median, mode, unknown, zero, false,
     const:<v> / constant:<v>, drop_rows, skip.  One job per family of
@@ -105,8 +95,8 @@ def auto_by_family(df: DataFrame) -> dict[str, str]:
 def auto_by_skew(df: DataFrame, limit: float = 1.0) -> dict[str, str]:
     """Numeric mean, or median when |G1| exceeds the limit; others the mode."""
     numbers = S.numeric_columns(df)
-    skew = _skews(df, numbers) if numbers else {}
-    out = {c: "median" if abs(skew[c] or 0.0) > limit else "mean" for c in numbers}
+    stats = base_stats(df, numbers)
+    out = {c: "median" if abs(stats[c]["skew"] or 0.0) > limit else "mean" for c in numbers}
     out.update({c: "mode" for c in S.text_columns(df) + S.boolean_columns(df)})
     return out
 

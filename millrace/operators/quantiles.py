@@ -221,6 +221,17 @@ def value_freq(df: DataFrame, cols: list[str], kind: str = "string") -> DataFram
     )
 
 
+def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, n_unique) of non-null values.  Long texts are compared by their
+    128-bit digest, so the shuffle carries no documents."""
+    def brief(c):
+        x = col(c).cast("string")
+        return F.when(F.length(x) > 40, F.md5(x.cast("binary"))).otherwise(x).alias(c)
+
+    cells = df.select(*[brief(c) for c in cols])
+    return value_freq(cells, cols).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+
+
 def modes(df: DataFrame, cols: list[str], kind: str = "string") -> DataFrame:
     """(column, n_unique, mode, mode_count, n); ties give the smallest value."""
     return (

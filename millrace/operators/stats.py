@@ -12,7 +12,7 @@ from millrace.functions import labels
 from millrace.functions import numeric as N
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
-from millrace.operators.quantiles import exact_quantiles, modes, value_freq
+from millrace.operators.quantiles import distinct_counts, exact_quantiles, modes, value_freq
 
 PROFILE_PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -230,7 +230,7 @@ def column_info(df: DataFrame, order_by: list[str]) -> DataFrame:
             "sample": F.min_by(col(c).cast("string"), F.when(col(c).isNotNull(), order)),
         },
     )
-    unique = value_freq(df, df.columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    unique = distinct_counts(df, df.columns)
     pct = lambda x: F.round(F.try_divide(F.col(x).cast("double"), F.col("n_total").cast("double")) * 100, 2)
     return (
         facts.join(F.broadcast(unique), "column", "left")

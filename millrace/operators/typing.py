@@ -10,7 +10,7 @@ from millrace.functions import text
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
 from millrace.operators.clean import NULL_RATIO, TINY_VARIANCE, id_report
-from millrace.operators.quantiles import value_freq
+from millrace.operators.quantiles import distinct_counts
 from millrace.plans.fitted import Step, applies
 
 COERCE_RATIO = 0.80
@@ -169,7 +169,7 @@ def _counts(df: DataFrame) -> DataFrame:
         ).alias("s")
     ).select(F.inline("s"))
     simple = [c for c in names if not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))]
-    unique = value_freq(df, simple).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    unique = distinct_counts(df, simple)
     return sizes.join(unique, "column", "left").withColumn(
         "n_unique", F.coalesce(F.col("n_unique"), F.lit(0).cast("bigint"))
     )
