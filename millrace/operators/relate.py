@@ -164,7 +164,9 @@ def corr_test(df: DataFrame, pairs, method: str = "auto", skew_limit: float = 1.
     base = df.agg(F.array(*[facts(a, b) for a, b in pairs]).alias("p")).select(F.inline("p"))
     if method != "pearson":
         rho = spearman_pairs(df, cols, pairs).select("col_a", "col_b", F.col("r").alias("spearman_r"))
-        base = base.join(F.broadcast(rho), ["col_a", "col_b"])  # one row per pair
+        # one row per pair on either side, merged by grouping
+        both = base.unionByName(rho, allowMissingColumns=True).groupBy("col_a", "col_b")
+        base = both.agg(*[F.max(c).alias(c) for c in ("n", "pearson_r", "skew_a", "skew_b", "spearman_r")])
     else:
         base = base.withColumn("spearman_r", F.lit(None).cast("double"))
     skewed = (F.col("skew_a") > skew_limit) | (F.col("skew_b") > skew_limit)
