@@ -41,8 +41,14 @@ def hot_hashes(df: DataFrame, keys: list[str], support: float | None = None) ->
 def order_number(df: DataFrame, name: str) -> Column | None:
     """A double that sorts like the column, or null when its type has none."""
     kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col(name)).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # by its fields: a cast to a zoned timestamp would fold daylight-saving gaps
+        t = col(name)
+        minutes = (F.unix_date(t.cast("date")).cast("bigint") * 24 + F.hour(t)) * 60 + F.minute(t)
+        second = (F.extract(F.lit("SECOND"), t) * 1000000).cast("bigint")
+        return (minutes * 60000000 + second).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(col(name)).cast("double")
     if isinstance(kind, T.NumericType):

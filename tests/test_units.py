@@ -200,6 +200,18 @@ def test_window_is_chunked_for_a_hot_key(spark):
     assert cut and sizes < 0.6 * 3000 / 4
 
 
+def test_zoneless_order_survives_daylight_saving(spark):
+    texts = ["2024-03-10 01:59:59.999999", "2024-03-10 02:30:00.000001", "2024-03-10 03:10:00", "2024-11-03 01:30:00", "2024-11-03 02:00:00"]
+    df = frame(spark, [(t,) for t in texts], "s string").select("s", F.col("s").cast("timestamp_ntz").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = df.select("s", skew.order_number(df, "t").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r["s"] for r in sorted(got, key=lambda r: r["n"])] == texts
+    assert got[0]["n"] == pd.Timestamp(texts[0]).value / 1000 and len({r["n"] for r in got}) == 5
+
+
 def test_interpolate_edges(spark):
     df = frame(spark, [(1, None), (2, 1.0), (3, None), (4, None), (5, 4.0), (6, None)], "t int, v double")
     got = {r["t"]: r["v"] for r in impute.interpolate(df, ["v"], ["t"]).collect()}
