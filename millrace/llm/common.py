@@ -192,7 +192,7 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     if not m:
         return words
     n = min(n, m)
-    out = np.full(m - n + 1, np.uint64(n) * _STEP[63])
+    out = np.full(m - n + 1, np.uint64(n * int(_STEP[63]) & _MASK))
     for k in range(n):
         out += words[k : m - n + 1 + k] * _STEP[k]
     return mix64(out)

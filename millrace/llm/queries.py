@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, sharding
+from millrace.llm import compression, packing, sharding
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op6(spark, sf):
     return sharding.shard_rows(load(spark, sf, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
+
+
+@query("op7_compression_bands")
+def op7(spark, sf):
+    return compression.compression_rules(load(spark, sf, "documents"))
