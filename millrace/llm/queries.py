@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, packing, sharding
+from millrace.llm import compression, packing, quality, sharding, toxicity
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,13 @@ def op6(spark, sf):
 @query("op7_compression_bands")
 def op7(spark, sf):
     return compression.compression_rules(load(spark, sf, "documents"))
+
+
+@query("op10_subword_toxicity")
+def op10(spark, sf):
+    return toxicity.toxicity(load(spark, sf, "documents"), load(spark, sf, "labels"))
+
+
+@query("op5_pu_quality")
+def op5(spark, sf):
+    return quality.quality(load(spark, sf, "documents"), load(spark, sf, "labels"))
