@@ -6,7 +6,7 @@ first.  The classifier then minimises the non-negative unbiased risk
 
     prior * R_p(+1) + max(0, R_u(-1) - prior * R_p(-1))
 
-with the logistic loss; while the bracket is negative, its gradient is followed upwards,
+with the sigmoid loss, which no single text can dominate; while the bracket is negative, its gradient is followed upwards,
 so that a flexible model cannot fit the positives it has seen.  The model is additive
 over binned facts of the whole text, so a score can be explained bin by bin.
 """
@@ -110,8 +110,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _adam(step, size: int, rounds: int, rate: float) -> np.ndarray:
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+def _adam(step, size: int, rounds: int, rate: float, start: np.ndarray | None = None) -> np.ndarray:
+    w, m, v = np.zeros(size) if start is None else start.copy(), np.zeros(size), np.zeros(size)
     for t in range(1, rounds + 1):
         g = step(w)
         m += 0.1 * (g - m)
@@ -151,24 +151,22 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = N
     size = xp.shape[1] + 1
     xp, xu = (np.hstack([x, np.ones((len(x), 1))]) for x in (xp, xu))
 
-    if prior is None:
-        # positives against unlabelled on one half, the prior from the scores of the other
-        def apart(w: np.ndarray) -> np.ndarray:
-            return (
-                xp[::2].T @ (_sigmoid(xp[::2] @ w) - 1) / len(xp[::2]) + xu[::2].T @ _sigmoid(xu[::2] @ w) / len(xu[::2]) + decay * w
-            )
+    # positives against unlabelled on one half, the prior from the scores of the other
+    def apart(w: np.ndarray) -> np.ndarray:
+        return xp[::2].T @ (_sigmoid(xp[::2] @ w) - 1) / len(xp[::2]) + xu[::2].T @ _sigmoid(xu[::2] @ w) / len(xu[::2]) + decay * w
 
+    if prior is None:
         w = _adam(apart, size, rounds // 2, 0.05)
         prior = estimate_prior(xp[1::2] @ w, xu[1::2] @ w)
 
     def risk(w: np.ndarray) -> np.ndarray:
-        zp, zu = xp @ w, xu @ w
-        plus = prior * xp.T @ (_sigmoid(zp) - 1) / len(xp)
-        minus = xu.T @ _sigmoid(zu) / len(xu) - prior * xp.T @ _sigmoid(zp) / len(xp)
-        bracket = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        return (plus + minus if bracket >= 0 else -minus) + decay * w
+        p, u = _sigmoid(xp @ w), _sigmoid(xu @ w)
+        up = prior * xp.T @ (p * (1 - p)) / len(xp)
+        minus = xu.T @ (u * (1 - u)) / len(xu) - up
+        return (minus - up if u.mean() >= prior * p.mean() else -minus) + decay * w
 
-    w = _adam(risk, size, rounds, 0.05)
+    # the loss is not convex: start from the convex problem, at the prior's odds
+    w = _adam(risk, size, rounds, 0.05, _adam(apart, size, rounds // 2, 0.05) + np.eye(size)[-1] * np.log(prior / (1 - prior)))
     return PuModel(edges, w[:-1].reshape(len(FACTS), BINS + 1), float(w[-1]), prior)
 
 
