@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, packing, quality, sharding, toxicity
+from millrace.llm import compression, line_dedup, packing, quality, sharding, toxicity
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op10(spark, sf):
 @query("op5_pu_quality")
 def op5(spark, sf):
     return quality.quality(load(spark, sf, "documents"), load(spark, sf, "labels"))
+
+
+@query("op2_edit_lines")
+def op2(spark, sf):
+    return line_dedup.repeated_lines(load(spark, sf, "documents"))
