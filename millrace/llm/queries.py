@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, line_dedup, packing, quality, sharding, toxicity
+from millrace.llm import compression, line_dedup, near_dup, packing, quality, sharding, toxicity
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op5(spark, sf):
 @query("op2_edit_lines")
 def op2(spark, sf):
     return line_dedup.repeated_lines(load(spark, sf, "documents"))
+
+
+@query("op9_chosen_path")
+def op9(spark, sf):
+    return near_dup.near_duplicates(load(spark, sf, "documents"), rules=near_dup.JoinRules(words=3, percent=85))
