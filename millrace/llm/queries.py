@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, line_dedup, near_dup, packing, quality, sharding, toxicity
+from millrace.llm import compression, decontaminate, line_dedup, near_dup, packing, quality, sharding, toxicity
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op2(spark, sf):
 @query("op9_chosen_path")
 def op9(spark, sf):
     return near_dup.near_duplicates(load(spark, sf, "documents"), rules=near_dup.JoinRules(words=3, percent=85))
+
+
+@query("op4_template_leaks")
+def op4(spark, sf):
+    return decontaminate.leaks(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
