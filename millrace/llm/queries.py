@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, decontaminate, line_dedup, near_dup, packing, quality, sharding, toxicity
+from millrace.llm import compression, decontaminate, licenses, line_dedup, near_dup, packing, quality, sharding, toxicity, url_tree
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,13 @@ def op9(spark, sf):
 @query("op4_template_leaks")
 def op4(spark, sf):
     return decontaminate.leaks(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+@query("op3_license_scans", licenses.notices_sql())
+def op3(spark, sf):
+    return licenses.license_notices(load(spark, sf, "documents"))
+
+
+@query("op8_path_templates")
+def op8(spark, sf):
+    return url_tree.judge_urls(load(spark, sf, "pages"))
