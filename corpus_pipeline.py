@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; the model is fitted as in its query."""
     model = fit_toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), ~held_out("doc_id", 3, 1))
     others = tuple(c for c in docs.columns if c != "doc_id")
-    return score_texts(docs, model, "doc_id", "text", keep=others).where(F.col("score") < TOXIC).select(*docs.columns)
+    return score_texts(docs, model, "doc_id", "text", keep=others, name="__toxicity").where(F.col("__toxicity") < TOXIC).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     and survives the loss of any executor."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `stored` that no later step reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, per_bucket: int = 50_000) -> DataFrame:

@@ -117,7 +117,11 @@ def _has_anchor(low: Column, anchors: tuple[str, ...]) -> Column:
 
 def _band_keys(shingles: Column, bands: int) -> Column:
     """One key per band: its number and the least hash of the shingles under its function."""
-    return F.array(*[F.xxhash64(F.lit(k), F.array_min(F.transform(shingles, lambda s, k=k: F.xxhash64(s, F.lit(k))))) for k in range(bands)])
+
+    def least(k: int) -> Column:
+        return F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(k))))
+
+    return F.array(*[F.xxhash64(F.lit(k), least(k)) for k in range(bands)])
 
 
 def _shingle_hashes(words: Column, size: int) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,8 +197,34 @@ def _members(lines: DataFrame) -> DataFrame:
     return few.groupBy("key", "id").agg(F.max("indexed").alias("indexed")).join(shared, "key", "left_semi")
 
 
+def gram_parities(chars: np.ndarray) -> list[int]:
+    """For runs of 1, 2 and 3 characters, the parity of how often each of 64 or 128 buckets of
+    them occurs, as longs.  One edit removes and adds at most q runs of q, so it changes at
+    most 2 q parities."""
+    out: list[int] = []
+    values = mix64(chars.astype(np.uint64) + _ONE)
+    grams = values
+    for q in (1, 2, 3):
+        if q > 1:
+            grams = mix64(grams[:-1] * _TWO + values[q - 1 :]) if len(values) >= q else values[:0]
+        size = 64 if q == 1 else 128
+        odd = np.bincount((grams >> np.uint64(40)).astype(np.int64) % size, minlength=size) & 1
+        out += np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    return out
+
+
+def may_be_near(tau: int):
+    """Test of two lines by their parities; it rules out no pair within ``tau`` edits."""
+
+    def alike(x: Column, y: Column) -> Column:
+        differ = [F.bit_count(x["grams"][i].bitwiseXOR(y["grams"][i])) for i in range(5)]
+        return (differ[0] <= 2 * tau) & (differ[1] + differ[2] <= 4 * tau) & (differ[3] + differ[4] <= 6 * tau)
+
+    return alike
+
+
 def _texts(docs: DataFrame, ids: DataFrame, text: str, min_chars: int) -> DataFrame:
-    """(id, line) of the wanted lines, from one more pass over the texts."""
+    """(id, line, grams) of the wanted lines, from one more pass over the texts."""
     bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(ids, "id"))  # fixed size
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,10 +234,14 @@ def _texts(docs: DataFrame, ids: DataFrame, text: str, min_chars: int) -> DataFr
                 _, once = np.unique(lines.ids[at], return_index=True)
                 at = at[once]
                 found = [lines.text[lines.begin[k] : lines.end[k]] for k in at]
-                yield pa.RecordBatch.from_arrays([pa.array(lines.ids[at]), pa.array(found, pa.string())], ["id", "line"])
+                grams = [gram_parities(lines.chars[lines.begin[k] : lines.end[k]]) for k in at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lines.ids[at]), pa.array(found, pa.string()), pa.array(grams, pa.list_(pa.int64()))], ["id", "line", "grams"]
+                )
 
     source = docs.select(F.col(text).cast("string"))
-    return source.mapInArrow(pick, "id bigint, line string").join(ids, "id", "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+    found = source.mapInArrow(pick, "id bigint, line string, grams array<bigint>").join(ids, "id", "left_semi")
+    return found.groupBy("id").agg(F.first("line").alias("line"), F.first("grams").alias("grams"))
 
 
 def _confirm(texts: DataFrame, tau: int):
@@ -247,9 +277,10 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", tau
     as one row and each comes out.  A very long line is compared whole.
     """
     lines = stored(line_table(docs, key, text, tau, min_chars), "lines")
-    members = stored(_members(lines), "members")
-    texts = stored(_texts(docs, members.select("id").distinct(), text, min_chars), "texts")
-    classes = linked(members, _confirm(texts, tau))
+    shared = stored(_members(lines), "members")
+    texts = stored(_texts(docs, shared.select("id").distinct(), text, min_chars), "texts")
+    members = stored(shared.join(texts.select("id", "grams"), "id"), "members")
+    classes = linked(members, _confirm(texts, tau), may_be_near(tau))
     each = lines.groupBy("line_id").agg(F.min(F.struct(key, "line_no")).alias("first"), F.count(F.lit(1)).alias("n"))
     named = each.join(classes.withColumnRenamed("id", "line_id"), "line_id", "left").withColumn("class", F.coalesce("component", "line_id"))
     total = named.groupBy("class").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
@@ -42,48 +42,60 @@ def label_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """Of each key (key, id, indexed): its first indexed member with every other one."""
-    lead = members.groupBy("key").agg(F.min(F.when(F.col("indexed"), F.col("id"))).alias("lead"))
+#: Test of two members by what they carry: (a, b) are columns of structs.
+Alike = Callable[[Column, Column], Column]
+
+
+def _any(a: Column, b: Column) -> Column:
+    return F.lit(True)
+
+
+def star_pairs(members: DataFrame, alike: Alike = _any) -> DataFrame:
+    """Of each key (key, id, indexed, ...): its first indexed member with every other one."""
+    whole = F.struct(*[c for c in members.columns if c != "key"])
+    rows = members.select("key", whole.alias("m"))
+    ordered = F.struct("id", *[c for c in members.columns if c not in ("key", "id", "indexed")])
+    lead = members.where("indexed").groupBy("key").agg(F.min(ordered).alias("lead"))
     return (
-        members.join(lead, "key").where(F.col("id") != F.col("lead"))
-        .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+        rows.join(lead, (rows["key"] == lead["key"]) & (F.col("m.id") != F.col("lead.id")) & alike(F.col("m"), F.col("lead")))
+        .select(F.least("m.id", "lead.id").alias("a"), F.greatest("m.id", "lead.id").alias("b")).distinct()
     )
 
 
 def mixed(members: DataFrame) -> DataFrame:
-    """Rows of keys whose members have several labels, with ``rows`` of the key and ``minor``
-    (not of the label that is most frequent there)."""
+    """Rows of keys whose members have several labels, with ``minors`` (rows of the key outside
+    its most frequent label) and ``minor`` (this is such a row)."""
     per_label = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     keys = per_label.groupBy("key").agg(
         F.sum("n").alias("rows"), F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels")
     ).where("labels > 1")
-    return members.join(keys.select("key", "rows", F.col("top.label").alias("major")), "key").select(
-        *members.columns, "rows", (F.col("label") != F.col("major")).alias("minor")
-    )
+    majors = keys.select("key", F.col("top.label").alias("major"), (F.col("rows") - F.col("top.n")).alias("minors"))
+    return members.join(majors, "key").select(*members.columns, "minors", (F.col("label") != F.col("major")).alias("minor"))
 
 
-def pairs_across(rows: DataFrame) -> DataFrame:
+def pairs_across(rows: DataFrame, alike: Alike = _any) -> DataFrame:
     """Pairs of a key with different labels, one of them indexed (input of `mixed`).
 
     Members of the most frequent label are in one component already, so every pair that
     can join two components has a member outside it; pairs within it are never formed.
     """
-    other = rows.select("key", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("indexed").alias("indexed2"), F.col("minor").alias("minor2"))
+    whole = F.struct(*[c for c in rows.columns if c != "key"])
+    one, two = rows.where("minor").select("key", whole.alias("x")), rows.select("key", whole.alias("y"))
+    new = F.expr("x.label != y.label and (x.indexed or y.indexed) and (not y.minor or x.id < y.id)")
     return (
-        rows.where("minor").join(other, "key")
-        .where("label != label2 and (indexed or indexed2) and (not minor2 or id < id2)")
-        .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+        one.join(two, (one["key"] == two["key"]) & new & alike(F.col("x"), F.col("y")))
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     )
 
 
-def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], alike: Alike = _any) -> DataFrame:
     """Components of the confirmed links among members of shared keys.
 
     First each key's members against one of them; then, of keys that still hold several
-    components, the rest.  No link between two components is left out.
+    components, the rest.  No link between two components is left out, unless ``alike`` rules
+    it out by what the members carry.
     """
-    first = stored(confirm(star_pairs(members)), "links")
+    first = stored(confirm(star_pairs(members, alike)), "links")
     rows = mixed(label_members(members, components(first)))
-    second = stored(confirm(pairs_across(rows)), "links")
+    second = stored(confirm(pairs_across(rows, alike)), "links")
     return components(first.unionByName(second))

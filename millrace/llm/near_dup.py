@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import hash_words, in_bitmap, key_bitmap, mix64, shingle_hashes, stored
+from millrace.llm.common import discard, hash_words, in_bitmap, key_bitmap, mix64, shingle_hashes, stored
 from millrace.llm.linking import components, label_members, mixed, pairs_across, star_pairs
 
 
@@ -32,17 +32,25 @@ class JoinRules:
     #: Least Jaccard similarity in hundredths.
     percent: int = 80
     trees: int = 16
-    coordinates: int = 64
-    #: Nodes of at most so many members are compared exhaustively.
-    leaf: int = 40
-    #: Levels of branching; what is still large then is compared all the same.
-    depth: int = 6
+    coordinates: int = 256
+    #: Hundredths below the threshold down to which a pair's expected number of common nodes does
+    #: not fall with the depth (the agreement of its coordinates scatters around its similarity).
+    slack: int = 4
+    #: A node with at most so many members outside its most frequent component is compared.
+    leaf: int = 8
+    #: Rounds of branching by `levels` levels; what is still large then is compared all the same.
+    rounds: int = 7
+    levels: int = 3
     #: Standard deviations below the threshold at which an estimate rules a pair out.
-    margin: float = 5.0
+    margin: float = 4.5
 
-    def least_agreement(self) -> int:
-        s = self.percent / 100
-        return int(np.floor(self.coordinates * s - self.margin * np.sqrt(self.coordinates * s * (1 - s))))
+    def least_bits(self) -> int:
+        """Equal bits of two sketches, at ``margin`` below the mean of a pair at the threshold.
+
+        A coordinate's bit is equal with probability s, else by chance.
+        """
+        p = (1 + self.percent / 100) / 2
+        return int(np.floor(self.coordinates * p - self.margin * np.sqrt(self.coordinates * p * (1 - p))))
 
 
 _SALT = [np.uint64(0x632BE59BD9B4E019), np.uint64(0xE220A8397B1DCDAF)]
@@ -60,73 +68,77 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFrame:
-    """(key, n_shingles, set1, set2, sig): two digests of the set, and 16 bits of each minwise token."""
-    factors = mix64(np.arange(1, rules.coordinates + 1, dtype=np.uint64) * _SALT[0]) | np.uint64(1)
-    shifts = mix64(np.arange(1, rules.coordinates + 1, dtype=np.uint64) * _SALT[1])
+    """(key, n_shingles, set1, set2, sig, sketch): two digests of the set, 16 bits of each minwise
+    token, and one more bit of each as longs."""
+    k = rules.coordinates
+    factors = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[0]) | np.uint64(1)
+    shifts = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[1])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
             size, one, two = (np.zeros(rows, dtype=np.int64) for _ in range(3))
-            sig = np.zeros((rows, rules.coordinates), dtype=np.uint64)
+            sig = np.zeros((rows, k), dtype=np.uint64)
             for row, found in shingle_sets(batch.column(1), rules.words):
                 size[row] = len(found)
                 if not len(found):
                     continue
                 one[row] = mix64(found ^ _SALT[0]).sum(dtype=np.uint64).astype(np.int64)
                 two[row] = mix64(found ^ _SALT[1]).sum(dtype=np.uint64).astype(np.int64)
-                for a in range(0, len(found), 4096):
-                    least = (found[a : a + 4096, None] * factors + shifts).min(axis=0)
+                for a in range(0, len(found), 1024):
+                    least = (found[a : a + 1024, None] * factors + shifts).min(axis=0)
                     sig[row] = least if a == 0 else np.minimum(sig[row], least)
-            short = (mix64(sig) >> np.uint64(48)).astype(np.int64).astype(np.int32)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(short.ravel()), rules.coordinates).cast(pa.list_(pa.int32()))
+            mixed = mix64(sig)
+            tokens = (mixed >> np.uint64(48)).astype("<u2")
+            bits = np.packbits((mixed & np.uint64(1)).astype(np.uint8), axis=1)
+            longs = pa.array(np.ascontiguousarray(bits).view(np.int64).ravel())
+            lists = pa.FixedSizeListArray.from_arrays(longs, k // 64).cast(pa.list_(pa.int64()))
+            raw = pa.array([t.tobytes() for t in tokens], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), lists], [key, "n_shingles", "set1", "set2", "sig"]
+                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), raw, lists],
+                [key, "n_shingles", "set1", "set2", "sig", "sketch"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig array<int>"
+        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig binary, sketch array<bigint>"
     )
 
 
-def _coordinate(seed: Column, rules: JoinRules) -> Column:
-    return F.pmod(seed, F.lit(rules.coordinates)).cast("int")
+def _token(c: Column) -> Column:
+    return F.substring("sig", 2 * c + 1, F.lit(2))
 
 
 def roots(reps: DataFrame, rules: JoinRules) -> DataFrame:
-    """(key, id, indexed) of the first level: tree t branches by its own coordinate."""
-    nodes = F.array(*[F.xxhash64(F.lit(t), F.element_at("sig", t % rules.coordinates + 1)) for t in range(rules.trees)])
-    return reps.select(F.explode(nodes).alias("key"), "id", F.lit(True).alias("indexed"))
+    """(key, id) of the first level: tree t branches by its own coordinate."""
+    nodes = F.array(*[F.xxhash64(F.lit(t), _token(F.lit(t % rules.coordinates))) for t in range(rules.trees)])
+    return reps.select(F.explode(nodes).alias("key"), "id")
 
 
-def branches(rows: DataFrame, reps: DataFrame, rules: JoinRules) -> DataFrame:
-    """Children of nodes: one coordinate, and a second one as often as 1 / similarity asks for.
+def branches(rows: DataFrame, rules: JoinRules) -> DataFrame:
+    """Children of nodes (key, id, sig): one coordinate, and a second one as often as 1 / similarity
+    asks for.  The coordinates are a function of the node, so its members choose alike."""
+    more = int(round((100 / (rules.percent - rules.slack) - 1) * 1_000_000))
+    for _ in range(rules.levels):
+        one, two = (F.pmod(F.xxhash64("key", F.lit(s)), F.lit(rules.coordinates)).cast("int") for s in ("one", "two"))
+        coin = F.pmod(F.xxhash64("key", F.lit("coin")), F.lit(1_000_000))
+        picked = F.when((coin < more) & (one != two), F.array(one, two)).otherwise(F.array(one))
+        rows = rows.select("id", "sig", "key", F.explode(picked).alias("c")).select(
+            "id", "sig", F.xxhash64("key", "c", _token(F.col("c"))).alias("key")
+        )
+    return rows.select("key", "id").distinct()
 
-    The coordinates are a function of the node, so its members choose alike.
-    """
-    more = int(round((100 / rules.percent - 1) * 1_000_000))
-    one, two, coin = (F.xxhash64("key", F.lit(s)) for s in ("one", "two", "coin"))
-    picked = F.when(F.pmod(coin, F.lit(1_000_000)) < more, F.array(_coordinate(one, rules), _coordinate(two, rules))).otherwise(
-        F.array(_coordinate(one, rules))
-    )
-    return (
-        rows.select("key", "id").join(reps.select("id", "sig"), "id")
-        .select("id", "key", "sig", F.explode(F.array_distinct(picked)).alias("c"))
-        .select(F.xxhash64("key", "c", F.element_at("sig", F.col("c") + 1)).alias("key"), "id", F.lit(True).alias("indexed"))
-    )
 
+def may_link(rules: JoinRules):
+    """Test of two members by sizes and sketches; what it rules out is below the threshold."""
+    longs = rules.coordinates // 64
 
-def likely(pairs: DataFrame, reps: DataFrame, rules: JoinRules) -> DataFrame:
-    """Pairs whose sizes and signatures leave the threshold possible."""
-    one = reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("n1"), F.col("sig").alias("s1"))
-    two = reps.select(F.col("id").alias("b"), F.col("n_shingles").alias("n2"), F.col("sig").alias("s2"))
-    agree = F.size(F.filter(F.zip_with("s1", "s2", lambda x, y: x == y), lambda same: same))
-    return (
-        pairs.join(one, "a").join(two, "b")
-        .where(100 * F.least("n1", "n2") >= rules.percent * F.greatest("n1", "n2"))
-        .where(agree >= rules.least_agreement()).select("a", "b")
-    )
+    def alike(x: Column, y: Column) -> Column:
+        differ = sum((F.bit_count(x["sketch"][i].bitwiseXOR(y["sketch"][i])) for i in range(1, longs)), F.bit_count(x["sketch"][0].bitwiseXOR(y["sketch"][0])))
+        sizes = 100 * F.least(x["n_shingles"], y["n_shingles"]) >= rules.percent * F.greatest(x["n_shingles"], y["n_shingles"])
+        return sizes & (differ <= rules.coordinates - rules.least_bits())
+
+    return alike
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFrame:
@@ -182,30 +194,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     """
     signed = stored(signatures(docs, key, text, rules), "signatures")
     usable = signed.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
-    classes = usable.groupBy("n_shingles", "set1", "set2").agg(F.min(key).alias("id"), F.first("sig").alias("sig"))
-    reps = stored(classes, "classes")
-
-    members = stored(roots(reps, rules), "nodes")
-    crowd = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key")
-    members = stored(members.join(crowd, "key", "left_semi"), "nodes")
-    links = stored(confirm(likely(star_pairs(members), reps, rules), docs, key, text, rules), "links")
+    reps = stored(usable.groupBy("n_shingles", "set1", "set2").agg(
+        F.min(key).alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")
+    ), "classes")
+    slim = stored(signed.select(key, "n_shingles", "set1", "set2"), "sets")
+    discard(signed)
+    facts, alike = reps.select("id", "n_shingles", "sketch"), may_link(rules)
+
+    def crowded(nodes: DataFrame) -> DataFrame:
+        """Members of nodes of two and more, with what they are compared by."""
+        crowd = nodes.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key")
+        return nodes.join(crowd, "key", "left_semi").join(facts, "id").select("key", "id", F.lit(True).alias("indexed"), "n_shingles", "sketch")
+
+    members = stored(crowded(roots(reps, rules)), "nodes")
+    links = stored(confirm(star_pairs(members, alike), docs, key, text, rules), "links")
     labels = components(links)
 
-    # nodes with several components: small ones are compared now, large ones branch on
+    # nodes with several components: the nearly pure are compared now, the others branch on
     ready, level = None, members
-    for depth in range(rules.depth):
-        rows = stored(mixed(label_members(level.select("key", "id", "indexed"), labels)), "mixed")
-        small = rows if depth == rules.depth - 1 else rows.where(F.col("rows") <= rules.leaf)
-        pairs = pairs_across(small)
+    for turn in range(rules.rounds + 1):
+        rows = stored(mixed(label_members(level, labels)), "mixed")
+        discard(level)
+        last = turn == rules.rounds
+        pairs = stored(pairs_across(rows if last else rows.where(F.col("minors") <= rules.leaf), alike), "pairs")
         ready = pairs if ready is None else ready.unionByName(pairs)
-        large = rows.where(F.col("rows") > rules.leaf)
-        if depth == rules.depth - 1 or large.isEmpty():
+        large = rows.where(F.col("minors") > rules.leaf)
+        if last or large.isEmpty():
             break
-        level = stored(branches(large, reps, rules).distinct(), "nodes")
-    second = stored(confirm(likely(ready.distinct(), reps, rules), docs, key, text, rules), "links")
+        level = stored(crowded(branches(large.select("key", "id").join(reps.select("id", "sig"), "id"), rules)), "nodes")
+        discard(rows)
+    second = stored(confirm(ready.distinct(), docs, key, text, rules), "links")
     joined = components(links.unionByName(second)).withColumnRenamed("id", "rep")
     of_class = reps.select("n_shingles", "set1", "set2", F.col("id").alias("rep")).join(joined, "rep", "left")
-    named = signed.select(key, "n_shingles", "set1", "set2").join(of_class, ["n_shingles", "set1", "set2"], "left")
+    named = slim.join(of_class, ["n_shingles", "set1", "set2"], "left")
     linked = F.coalesce("component", F.when(F.col("n_shingles") > 0, F.col("rep")), F.col(key))
     return named.select(
         key, "n_shingles",

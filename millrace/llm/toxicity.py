@@ -236,8 +236,8 @@ def labelled_sample(
     return rows, prior
 
 
-def score_texts(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, *keep, score) of every row."""
+def score_texts(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), name: str = "score") -> DataFrame:
+    """(key, *keep, score) of every row; ``name`` is the name of the score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS doubles
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,10 +250,10 @@ def score_texts(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text
                 starts, ends, firsts = token_spans(raw, part)
                 values = word_scores(m.table, raw[int(part[0]) :], starts, ends)
                 out[i:j] = [telling_mean(values[firsts[d] : firsts[d + 1]], m.k) for d in range(j - i)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(m.score(out))], [key, *keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(m.score(out))], [key, *keep, name])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (key, *keep))
-    return docs.select(key, *keep, F.col(text).cast("string").alias("__text")).mapInArrow(rate, f"{kinds}, score double")
+    return docs.select(key, *keep, F.col(text).cast("string").alias("__text")).mapInArrow(rate, f"{kinds}, `{name}` double")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 1500, key: str = "doc_id", text: str = "text") -> ToxicityModel:
