@@ -99,7 +99,7 @@ def sample_n(spark, sf):
 def sample_n_large(spark, sf):
     """The same sample without a sort: a comparison with a fitted hash."""
     df = load(spark, sf, "orders")
-    return split.sample_n(df, ["o_orderkey"], 900, driver_rows=0).select("o_orderkey", "o_totalprice")
+    return split.sample_n(df, ["o_orderkey"], 900).select("o_orderkey", "o_totalprice")
 
 
 @query("file_inventory")

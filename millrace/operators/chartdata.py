@@ -95,8 +95,8 @@ def box_stats(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     return table.join(F.broadcast(per_column(df, list(q), facts)), "column")
 
 
-def box_points(df: DataFrame, cols: list[str], limit: int = 200, k: float = 1.5) -> DataFrame:
-    """Most extreme outlier points per column for drawing (a top-k report)."""
+def box_points(df: DataFrame, cols: list[str], limit: int | None = None, k: float = 1.5) -> DataFrame:
+    """Outlier points per column, the most extreme first; with ``limit`` a top-k report."""
     q = exact_quantiles(df, cols, [0.25, 0.75])
     cells = []
     for c, (q1, q3) in q.items():
@@ -108,7 +108,8 @@ def box_points(df: DataFrame, cols: list[str], limit: int = 200, k: float = 1.5)
         cells.append(F.struct(F.lit(c).alias("column"), out.alias("value"), F.greatest(F.lit(lo) - x, x - F.lit(hi)).alias("d")))
     w = Window.partitionBy("column").orderBy(F.desc("d"), "value")
     rows = df.select(F.inline(F.array(*cells))).where("value is not null")
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).select("column", "value", "rank")
+    ranked = rows.withColumn("rank", F.row_number().over(w)).select("column", "value", "rank")
+    return ranked if limit is None else ranked.where(F.col("rank") <= limit)
 
 
 def corr_heatmap(df: DataFrame, cols: list[str], max_cols: int = 30, lower: bool = False, method: str = "pearson") -> DataFrame:
@@ -145,9 +146,8 @@ def category_shares(df: DataFrame, cols: list[str] | None = None, low: int = 2,
 
 
 def scatter_sample(df: DataFrame, x: str, y: str, keys: list[str], rows: int = SCATTER_ROWS) -> DataFrame:
-    """Points for a scatter chart: all rows while few, else a hash sample."""
-    n = df.count()
-    part = df if n <= rows else hash_fraction(df, keys, rows / n)
+    """Points for a scatter chart: the share of rows, by key hash, that makes about ``rows``."""
+    part = hash_fraction(df, keys, min(1.0, rows / max(df.count(), 1)))
     return part.select(*[col(k) for k in keys], dbl(x).alias("x"), dbl(y).alias("y")).where("x is not null and y is not null")
 
 
@@ -161,8 +161,7 @@ def scatter_trend(df: DataFrame, x: str, y: str) -> DataFrame:
 def pair_grid(df: DataFrame, cols: list[str], keys: list[str], hue: str | None = None, first: int = 6, rows: int = SCATTER_ROWS) -> DataFrame:
     """Long (col_x, col_y, x, y, hue) points for every pair of the first columns."""
     cols = cols[:first]
-    n = df.count()
-    part = df if n <= rows else hash_fraction(df, keys, rows / n)
+    part = hash_fraction(df, keys, min(1.0, rows / max(df.count(), 1)))
     tone = F.lit(None).cast("string")
     if hue and df.select(col(hue)).distinct().limit(11).count() <= 10:
         tone = col(hue).cast("string")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from millrace.functions import text
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
-from millrace.operators.skew import BROADCAST_ROWS, lookup, with_row_number
+from millrace.operators.skew import BROADCAST_ROWS, hot_hashes, lookup, with_row_number
 from millrace.operators.typing import _counts, text_facts
 from millrace.plans.fitted import Step, applies
 from millrace.session import scratch_dir
@@ -41,10 +41,11 @@ def _dictionary_step(df: DataFrame, c: str, pairs: DataFrame, default) -> Step:
         return Step("dictionary", {"column": c, "map": {r["value"]: r["code"] for r in head}, "default": default})
     path = scratch_dir(spark, "dictionary")
     pairs.write.parquet(path)
-    return Step(
-        "dictionary",
-        {"column": c, "table": path, "rows": spark.read.parquet(path).count(), "default": default},
-    )
+    rows = spark.read.parquet(path).count()
+    # beyond a broadcast, the step carries the hot keys of the data it was fitted on
+    keyed = df.select(col(c).cast("string").alias("__key"))
+    hot = hot_hashes(keyed, ["__key"]) if rows > BROADCAST_ROWS else []
+    return Step("dictionary", {"column": c, "table": path, "rows": rows, "default": default, "hot": hot})
 
 
 @applies("dictionary")
@@ -61,7 +62,7 @@ def _apply_dictionary(df, p):
         return df.withColumn(c, F.coalesce(code, default))
     pairs = df.sparkSession.read.parquet(p["table"]).withColumnRenamed("value", "__key")
     keyed = df.withColumn("__key", col(c).cast("string"))
-    out = lookup(keyed, pairs, ["__key"], rows=p["rows"])
+    out = lookup(keyed, pairs, ["__key"], rows=p["rows"], hot=p.get("hot"))
     return out.withColumn(c, F.coalesce("code", default)).drop("__key", "code")
 
 

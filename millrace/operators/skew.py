@@ -201,19 +201,21 @@ def lookup(
     dictionary: DataFrame,
     on: list[str],
     rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, hot: list[int] | None = None,
 ) -> DataFrame:
     """Left join against a unique-keyed dictionary.
 
     Broadcast while ``rows`` (the counted dictionary size) stays under the
     bound.  Beyond it only the entries of hot keys are broadcast (there are at
     most 1/support of them), and the remaining rows, whose keys are all small,
-    meet the dictionary in a shuffle join.
+    meet the dictionary in a shuffle join.  ``hot`` gives the hashes of hot keys if they are
+    known; a stream cannot be searched for them.
     """
     rows = dictionary.count() if rows is None else rows
     if rows <= broadcast_rows:
         return df.join(F.broadcast(dictionary), on, "left")
-    hot = hot_hashes(df, on)
+    if hot is None:
+        hot = [] if df.isStreaming else hot_hashes(df, on)
     if not hot:
         return df.join(dictionary, on, "left")
     is_hot = _key_hash(on).isin(hot)

@@ -175,17 +175,18 @@ def fit_split_scaled(df: DataFrame, cols: list[str]) -> Step:
     return Step("affine", {"columns": params, "how": "minmax"})
 
 
-def sample_n(df: DataFrame, keys: list[str], n: int, seed: int = SEED, driver_rows: int = 100_000) -> DataFrame:
+def sample_n(df: DataFrame, keys: list[str], n: int, seed: int = SEED) -> DataFrame:
     """Exactly n rows (all when the table is smaller), the same on every run.
 
-    A small sample is a per-task top n; a larger one is a comparison with the
-    hash of its last row.
+    Rows are compared with the hash of the last one; rows of one key are told apart by a
+    digest of the whole row, and only rows equal in every column are interchangeable.
     """
-    h = key_hash(keys, seed)
-    if n <= driver_rows:
-        return df.orderBy(h).limit(n)
-    cut = _cut_hashes(df, h, F.lit(""), {"": [n]})[""][0]
-    return df.where(h <= F.lit(cut))
+    if n <= 0:
+        return df.limit(0)
+    whole = F.concat(key_hash(keys, seed), F.md5(F.to_json(F.struct(*[col(c) for c in df.columns]), {"ignoreNullFields": "false"})))
+    cut = F.lit(_cut_hashes(df, whole, F.lit(""), {"": [n]})[""][0])
+    below = df.where(whole < cut)
+    return below.unionByName(df.where(whole == cut).limit(n - below.count()))
 
 
 def hash_fraction(df: DataFrame, keys: list[str], fraction: float, seed: int = SEED) -> DataFrame:

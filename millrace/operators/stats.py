@@ -39,8 +39,10 @@ def overview(df: DataFrame) -> DataFrame:
     """Rows, columns, class counts, nulls, cells, duplicate rows (one row)."""
     numeric = S.numeric_columns(df)
     nulls = reduce(lambda a, b: a + b, [F.count_if(col(c).isNull()) for c in df.columns])
-    # distinct rows through grouping: partial aggregation collapses copies map-side
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    # rows are told apart by 128 bits; hashes skip nulls, so where they are is hashed too
+    cells, gaps = [col(c) for c in df.columns], [col(c).isNull() for c in df.columns]
+    digest = [F.xxhash64(*cells, *gaps).alias("__h1"), F.xxhash64(F.lit("row"), *gaps, *reversed(cells)).alias("__h2")]
+    groups = df.groupBy(*digest).agg(F.count(F.lit(1)).alias("__copies"))
     facts = df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.alias("total_missing"))
     dup = groups.agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_rows"))
     return facts.withColumn("duplicate_rows", dup.scalar()).select(

@@ -282,7 +282,9 @@ def relationship_report(spark: SparkSession, source, columns: list[str] | None =
     df = clean.null_tokens(clean.trim_text(S.canonical(read_any(spark, source))))
     df = clean.drop_empty_rows_cols(df)
     df = ty.fit_coerce_numeric(df, 0.70, strict=True).transform(df)
-    if sample and keys:
+    if sample:
+        if not keys:
+            raise ValueError("a sample needs the key columns that choose its rows")
         df = split.sample_n(df, keys, sample)
     df = S.select_columns(df, columns or df.columns)
     return report_tables(df)

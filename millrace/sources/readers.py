@@ -100,8 +100,10 @@ def read_json(spark: SparkSession, path: str, orient: str = "auto") -> DataFrame
         elif compact.startswith("["):
             orient = "records"
         elif compact.startswith("{") and compact.split(":", 1)[-1].startswith("{"):
-            first_key = compact[1:].split(":", 1)[0].strip('"')
-            orient = "index" if first_key.lstrip("-").isdigit() else "columns"
+            outer, inner = (k.strip('{"').lstrip("-").isdigit() for k in compact.split(":", 2)[:2])
+            if outer == inner and not compact.split(":", 1)[-1].startswith("{}"):
+                raise ValueError("rows or columns first? pass orient='index' or orient='columns'")
+            orient = "index" if outer else "columns"
         else:
             orient = "lines"
     if orient == "lines":
@@ -118,10 +120,12 @@ def read_json(spark: SparkSession, path: str, orient: str = "auto") -> DataFrame
         names = [r[0] for r in outer.select(F.explode(F.map_keys("inner")).alias("n")).distinct().orderBy("n").collect()]
         return _typed(outer.select(*[F.try_element_at("inner", F.lit(n)).alias(n) for n in names]))
     if orient == "columns":
-        cells = outer.select(F.col("k").alias("name"), F.explode("inner").alias("row", "value"))
+        # a row label counts within its file
+        marked = docs.select(F.col("_metadata.file_path").alias("file"), F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("k", "inner"))
+        cells = marked.select("file", F.col("k").alias("name"), F.explode("inner").alias("row", "value"))
         names = [r[0] for r in outer.select("k").distinct().orderBy("k").collect()]
-        wide = cells.groupBy("row").pivot("name", names).agg(F.first("value"))
-        return _typed(wide.drop("row"))
+        wide = cells.groupBy("file", "row").pivot("name", names).agg(F.first("value"))
+        return _typed(wide.drop("file", "row"))
     raise ValueError(f"unknown JSON layout {orient!r}")
 
 
