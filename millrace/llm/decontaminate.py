@@ -10,8 +10,6 @@ names.  Else the match is a common phrase with chance values.
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -44,37 +42,31 @@ UNITS = frozenset(
     litres m mb meter meters metre metres mg mile miles min minute minutes ml mm month months mph ounce ounces oz pence
     percent pound pounds second seconds sec ton tonne tonnes tons week weeks yard yards year years""".split()
 )
-_NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-z]{1,2})?\Z")
-_STOPS = ".!?:"
-
-_LITERAL, _NUM, _UNIT, _NOTHING = 0, 1, 2, 3  # two low bits of a code
-_CAPITAL, _STOP = 4, 8
-_FLAGS = np.uint64(15)
-_PLACE = {name: mix64(np.array([k], dtype=np.uint64))[0] & ~_FLAGS for k, name in enumerate(("number", "unit", "name"), 1)}
-_MEMO = 500_000
-_memo: dict[int, int] = {}
-
-
-def _code(word: bytes) -> int:
-    """Hash of the bare lower-case word, with flags in the low bits."""
-    text = unicodedata.normalize("NFKC", word.decode("utf-8", "replace"))
-    core = text
-    while core and not core[0].isalnum() and not (core[0] in "+-" and core[1:2].isdigit()):
-        core = core[1:]
-    while core and not core[-1].isalnum() and core[-1] != "%":
-        core = core[:-1]
-    flags = _STOP if text.rstrip("\"')]»”’")[-1:] in _STOPS and text else 0
-    low = core.lower()
-    if not core or core == "%":
-        return flags | _NOTHING
-    if _NUMBER.match(low):
-        flags |= _NUM
-    elif low in UNITS:
-        flags |= _UNIT
-    if core[0].isupper() and core[1:] != core[1:].upper():
-        flags |= _CAPITAL
-    raw = np.frombuffer(low.encode(), dtype=np.uint8)
-    return int(hash_spans(raw, np.array([0]), np.array([len(raw)]))[0] & ~_FLAGS) | flags
+
+def _table(members: str) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    out[list(members.encode())] = True
+    return out
+
+
+_DIGITS = _table("0123456789")
+_IN_NUMBER = _table("0123456789.,:/%+-")
+_CORE = _table("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_CORE[128:] = True
+_LOWER = _table("abcdefghijklmnopqrstuvwxyz")
+_LOWER[128:] = True
+_UPPER = _table("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_STOP, _CLOSER = _table(".!?:"), _table("\"')]")
+_PLACE = {name: mix64(np.array([k], dtype=np.uint64))[0] for k, name in enumerate(("number", "unit", "name"), 1)}
+
+
+def _hash_of(words: list[str]) -> np.ndarray:
+    raw = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    return hash_spans(raw, ends - [len(w) for w in words], ends, fold=True)
+
+
+_UNIT_HASHES = np.sort(_hash_of(sorted(UNITS)))
 
 
 @dataclass
@@ -91,39 +83,52 @@ class Tokens:
 
 
 def canonical(raw: np.ndarray, part: np.ndarray) -> Tokens:
+    """Bare words in lower case (A-Z and the capitals of Latin-1) or placeholders.
+
+    Words without a letter or digit are no tokens.  A number begins with a digit and has at
+    most two bytes beside digits and their separators; a unit is one of UNITS after a number;
+    a name is a capitalised word that does not begin a sentence, a line or a text.
+    """
     base = int(part[0])
     data = raw[base : int(part[-1])]
     starts, ends, firsts = word_spans(raw, part)
-    hashes = hash_spans(data, starts, ends)
-    unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-    if len(_memo) > _MEMO:
-        _memo.clear()
-    found = []
-    for h, at in zip(unique.tolist(), first.tolist(), strict=True):
-        code = _memo.get(h)
-        if code is None:
-            code = _memo[h] = _code(data[starts[at] : ends[at]].tobytes())
-        found.append(code)
-    codes = np.array(found, dtype=np.uint64)[back] if len(found) else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(part) - 1), np.diff(firsts))
-    n = len(codes)
+    solid = np.flatnonzero(_CORE[data])
+    low = np.searchsorted(solid, starts)
+    high = np.searchsorted(solid, ends)
+    keep = high > low
+    last = data[ends - 1]
+    stop = _STOP[last] | (_CLOSER[last] & (ends - starts > 1) & _STOP[data[np.maximum(ends - 2, 0)]])
+    n = len(starts)
     opens = np.ones(n, dtype=bool)  # begins a sentence, a line or a text
     if n > 1:
-        stop = (codes & np.uint64(_STOP)) != 0
-        opens[1:] = stop[:-1] | (owner[1:] != owner[:-1]) | (data[np.maximum(starts[1:] - 1, 0)] == 10)
-    keep = (codes & np.uint64(3)) != _NOTHING
-    codes, opens, owner, starts, ends = codes[keep], opens[keep], owner[keep], starts[keep], ends[keep]
-    kind = codes & np.uint64(3)
-    number = kind == _NUM
+        opens[1:] = stop[:-1] | (owner[1:] != owner[:-1]) | (data[starts[1:] - 1] == 10)
+    begin, end = solid[low[keep]], solid[high[keep] - 1] + 1
+    owner, opens = owner[keep], opens[keep]
+    folded = data
+    wide = np.flatnonzero(data[:-1] == 0xC3) + 1 if len(data) else np.zeros(0, np.int64)
+    wide = wide[(data[wide] >= 0x80) & (data[wide] <= 0x9E) & (data[wide] != 0x97)]
+    if len(wide):
+        folded = data.copy()
+        folded[wide] += 0x20
+    codes = hash_spans(folded, begin, end, fold=True)
+    others = np.concatenate([[0], np.cumsum(~_IN_NUMBER[data])])
+    number = _DIGITS[data[begin]] & (others[end] - others[begin] <= 2)
+    small = np.concatenate([[0], np.cumsum(_LOWER[data])])
+    is_wide = np.zeros(len(data) + 1, dtype=bool)
+    is_wide[wide] = True
+    head = np.where(is_wide[np.minimum(begin + 1, len(data))], 2, 1)
+    capital = (_UPPER[data[begin]] | (head == 2)) & (small[end] > small[np.minimum(begin + head, end)]) & ~number
     after = np.zeros(len(codes), dtype=bool)
     after[1:] = number[:-1] & (owner[1:] == owner[:-1])
-    unit = (kind == _UNIT) & after
-    name = ((codes & np.uint64(_CAPITAL)) != 0) & ~opens & ~number & ~unit
-    out = np.select([number, unit, name], [_PLACE["number"], _PLACE["unit"], _PLACE["name"]], codes & ~_FLAGS)
+    unit = after & ~number
+    unit[unit] = np.isin(codes[unit], _UNIT_HASHES)
+    capital &= ~unit
+    name = capital & ~opens
+    out = np.select([number, unit, name], [_PLACE["number"], _PLACE["unit"], _PLACE["name"]], codes)
     per = np.bincount(owner, minlength=len(part) - 1)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
-    capital = ((codes & np.uint64(_CAPITAL)) != 0) & ~number & ~unit
-    return Tokens(out, number | unit | name, starts + base, ends + base, owner, place, capital)
+    return Tokens(out, number | unit | name, begin + base, end + base, owner, place, capital)
 
 
 def template_windows(t: Tokens, n: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +145,7 @@ def _values(t: Tokens, raw: np.ndarray, at: int, n: int) -> list[str]:
     """Lower-case words behind the placeholders of a window, each marked with its kind."""
     out = []
     for k in np.flatnonzero(t.slot[at : at + n]) + at:
-        word = raw[t.begin[k] : t.end[k]].tobytes().decode("utf-8", "replace").strip(".,;:!?\"'()[]").lower()
+        word = raw[t.begin[k] : t.end[k]].tobytes().decode("utf-8", "replace").lower()
         out.append(("n:" if t.codes[k] == _PLACE["name"] else "v:") + word)
     return out
 
