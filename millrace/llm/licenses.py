@@ -131,9 +131,9 @@ def _shingle_hashes(words: Column, size: int) -> Column:
 
 def _template_table(spark: SparkSession, group: Group) -> DataFrame:
     """(license, shingles, bands) of a group: a fixed list of a few rows."""
-    rows = [(name, list(words)) for name, words in zip(group.names, group.texts, strict=True)]
+    rows = [F.struct(F.lit(n).alias("license"), F.array(*[F.lit(w) for w in words]).alias("words")) for n, words in zip(group.names, group.texts, strict=True)]
     hashes = F.array_distinct(_shingle_hashes(F.col("words"), group.size))
-    table = spark.createDataFrame(rows, "license string, words array<string>").select("license", hashes.alias("template"))
+    table = spark.range(1).select(F.inline(F.array(*rows))).select("license", hashes.alias("template"))
     return table.select("license", "template", _band_keys(F.col("template"), group.bands).alias("keys"))
 
 
