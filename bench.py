@@ -20,6 +20,7 @@ HEADLINE = [
     "encode_target", "scale_standard", "scale_robust", "feat_rules", "feat_rank_pct", "outlier_clip", "outlier_report",
     "pearson_matrix", "spearman_matrix", "anova_test", "chi_square_test", "mutual_info_matrix", "pairwise_tests",
     "select_cascade", "split_lines", "split_stratified", "histogram", "box_stats", "kde", "apply_fitted", "ml_linear", "ml_tree_cls",
+    "kendall_matrix", "knn_neighbours", "impute_ffill_global", "encode_label_wide", "dictionary_lookup_hot", "feat_rank_pct_chunked",
 ]
 
 
