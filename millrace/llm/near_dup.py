@@ -37,10 +37,10 @@ class JoinRules:
     #: not fall with the depth (the agreement of its coordinates scatters around its similarity).
     slack: int = 4
     #: A node with at most so many members outside its most frequent component is compared.
-    leaf: int = 8
+    leaf: int = 32
     #: Rounds of branching by `levels` levels; what is still large then is compared all the same.
-    rounds: int = 7
-    levels: int = 3
+    rounds: int = 3
+    levels: int = 5
     #: Standard deviations below the threshold at which an estimate rules a pair out.
     margin: float = 4.5
 
@@ -53,6 +53,7 @@ class JoinRules:
         return int(np.floor(self.coordinates * p - self.margin * np.sqrt(self.coordinates * p * (1 - p))))
 
 
+PARITIES = 512
 _SALT = [np.uint64(0x632BE59BD9B4E019), np.uint64(0xE220A8397B1DCDAF)]
 
 
@@ -67,9 +68,15 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield i + d, distinct_shingles(words[firsts[d] : firsts[d + 1]], n)
 
 
+def _longs(bits: np.ndarray) -> pa.Array:
+    """Rows of bits as lists of longs."""
+    longs = np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.int64)
+    return pa.FixedSizeListArray.from_arrays(pa.array(longs.ravel()), bits.shape[1] // 64).cast(pa.list_(pa.int64()))
+
+
 def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFrame:
-    """(key, n_shingles, set1, set2, sig, sketch): two digests of the set, 16 bits of each minwise
-    token, and one more bit of each as longs."""
+    """(key, n_shingles, set1, set2, sig, sketch, parity): two digests of the set, 16 bits of each
+    minwise token, one more bit of each as longs, and the parities of PARITIES buckets of shingles."""
     k = rules.coordinates
     factors = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[0]) | np.uint64(1)
     shifts = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[1])
@@ -79,29 +86,29 @@ def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFr
             rows = batch.num_rows
             size, one, two = (np.zeros(rows, dtype=np.int64) for _ in range(3))
             sig = np.zeros((rows, k), dtype=np.uint64)
+            odd = np.zeros((rows, PARITIES), dtype=np.uint8)
             for row, found in shingle_sets(batch.column(1), rules.words):
                 size[row] = len(found)
                 if not len(found):
                     continue
                 one[row] = mix64(found ^ _SALT[0]).sum(dtype=np.uint64).astype(np.int64)
                 two[row] = mix64(found ^ _SALT[1]).sum(dtype=np.uint64).astype(np.int64)
+                odd[row] = np.bincount((found >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
                 for a in range(0, len(found), 1024):
                     least = (found[a : a + 1024, None] * factors + shifts).min(axis=0)
                     sig[row] = least if a == 0 else np.minimum(sig[row], least)
             mixed = mix64(sig)
             tokens = (mixed >> np.uint64(48)).astype("<u2")
-            bits = np.packbits((mixed & np.uint64(1)).astype(np.uint8), axis=1)
-            longs = pa.array(np.ascontiguousarray(bits).view(np.int64).ravel())
-            lists = pa.FixedSizeListArray.from_arrays(longs, k // 64).cast(pa.list_(pa.int64()))
+            lists = [_longs((mixed & np.uint64(1)).astype(np.uint8)), _longs(odd)]
             raw = pa.array([t.tobytes() for t in tokens], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), raw, lists],
-                [key, "n_shingles", "set1", "set2", "sig", "sketch"],
+                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), raw, *lists],
+                [key, "n_shingles", "set1", "set2", "sig", "sketch", "parity"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig binary, sketch array<bigint>"
+        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig binary, sketch array<bigint>, parity array<bigint>"
     )
 
 
@@ -129,14 +136,28 @@ def branches(rows: DataFrame, rules: JoinRules) -> DataFrame:
     return rows.select("key", "id").distinct()
 
 
+def _differ(x: Column, y: Column, longs: int) -> Column:
+    """Bits in which two lists of longs differ."""
+    return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(1, longs)), F.bit_count(x[0].bitwiseXOR(y[0])))
+
+
+def sets_may_link(rules: JoinRules):
+    """Lossless test by parities: each shingle that only one set has flips one parity at most."""
+
+    def alike(x: Column, y: Column) -> Column:
+        most = (x["n_shingles"] + y["n_shingles"]) * (100 - rules.percent)
+        return _differ(x["parity"], y["parity"], PARITIES // 64) * (100 + rules.percent) <= most
+
+    return alike
+
+
 def may_link(rules: JoinRules):
     """Test of two members by sizes and sketches; what it rules out is below the threshold."""
     longs = rules.coordinates // 64
 
     def alike(x: Column, y: Column) -> Column:
-        differ = sum((F.bit_count(x["sketch"][i].bitwiseXOR(y["sketch"][i])) for i in range(1, longs)), F.bit_count(x["sketch"][0].bitwiseXOR(y["sketch"][0])))
         sizes = 100 * F.least(x["n_shingles"], y["n_shingles"]) >= rules.percent * F.greatest(x["n_shingles"], y["n_shingles"])
-        return sizes & (differ <= rules.coordinates - rules.least_bits())
+        return sizes & (_differ(x["sketch"], y["sketch"], longs) <= rules.coordinates - rules.least_bits())
 
     return alike
 
@@ -195,11 +216,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     signed = stored(signatures(docs, key, text, rules), "signatures")
     usable = signed.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
     reps = stored(usable.groupBy("n_shingles", "set1", "set2").agg(
-        F.min(key).alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")
+        F.min(key).alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")
     ), "classes")
     slim = stored(signed.select(key, "n_shingles", "set1", "set2"), "sets")
     discard(signed)
-    facts, alike = reps.select("id", "n_shingles", "sketch"), may_link(rules)
+    facts, alike, same = reps.select("id", "n_shingles", "sketch"), may_link(rules), sets_may_link(rules)
+    parities = reps.select("id", "parity")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that the parities leave possible."""
+        both = F.struct("n_shingles", "parity")
+        one, two = (reps.select(F.col("id").alias(c), both.alias(f"of_{c}")) for c in "ab")
+        return pairs.join(one, "a").join(two, "b").where(same(F.col("of_a"), F.col("of_b"))).select("a", "b")
 
     def crowded(nodes: DataFrame) -> DataFrame:
         """Members of nodes of two and more, with what they are compared by."""
@@ -207,7 +235,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         return nodes.join(crowd, "key", "left_semi").join(facts, "id").select("key", "id", F.lit(True).alias("indexed"), "n_shingles", "sketch")
 
     members = stored(crowded(roots(reps, rules)), "nodes")
-    links = stored(confirm(star_pairs(members, alike), docs, key, text, rules), "links")
+    links = stored(confirm(possible(star_pairs(members, alike)), docs, key, text, rules), "links")
     labels = components(links)
 
     # nodes with several components: the nearly pure are compared now, the others branch on
@@ -216,7 +244,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         rows = stored(mixed(label_members(level, labels)), "mixed")
         discard(level)
         last = turn == rules.rounds
-        pairs = stored(pairs_across(rows if last else rows.where(F.col("minors") <= rules.leaf), alike), "pairs")
+        now = (rows if last else rows.where(F.col("minors") <= rules.leaf)).join(parities, "id")
+        pairs = stored(pairs_across(now, lambda x, y: alike(x, y) & same(x, y)), "pairs")
         ready = pairs if ready is None else ready.unionByName(pairs)
         large = rows.where(F.col("minors") > rules.leaf)
         if last or large.isEmpty():
