@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import groups_of, hash_spans, in_bitmap, key_bitmap, mix64, shingle_hashes, text_bytes, word_spans
@@ -242,11 +242,26 @@ def leaks(
         F.struct(F.lit(1).alias("round"), F.floor((shift + rules.slack) / wide).alias("bucket")),
     )))
     occurrence = ["__key", "__item", "run"]
-    # bounded: an occurrence spans at most the item and its slack
+    # an item that repeats its template also matches itself some tokens on: of two matches at one
+    # place of the item or of the text, the one whose exact shift has more of the windows is meant
+    runs = runs.withColumn("shift", shift)
+    runs = runs.withColumn("weight", F.struct(F.count(F.lit(1)).over(Window.partitionBy(*occurrence, "shift")), -F.col("shift")))
+    top = {name: F.max("weight").over(Window.partitionBy(*occurrence, *by)) for name, by in
+           {"main": [], "of_item": ["item_pos"], "of_text": ["pos"]}.items()}
+    runs = runs.select("*", *[(F.col("weight") == best).alias(name) for name, best in top.items()])
+
+    def part(which: Column) -> Column:
+        return F.struct(
+            F.size(F.collect_set(F.when(which, F.col("item_pos")))).alias("held"), F.min(F.when(which, F.col("pos"))).alias("first_token"),
+            F.array_distinct(F.flatten(F.collect_set(F.when(which, F.arrays_zip("item_values", "values"))))).alias("pairs"),
+        )
+
+    # all matches, those aligned, those of the main shift, those with the item's own values:
+    # any of them may be the occurrence; bounded, as it spans at most the item and its slack
+    parts = [F.lit(True), F.col("of_item") & F.col("of_text"), F.col("main"), F.col("item_values") == F.col("values")]
     found = runs.groupBy(*occurrence).agg(
-        F.count_distinct("item_pos").alias("held"), F.max("windows").alias("windows"), F.min("pos").alias("first_token"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_values", "values")))).alias("pairs"),
-    ).where(F.col("held") >= rules.coverage * F.col("windows"))
+        F.max("windows").alias("windows"), F.array(*[part(p) for p in parts]).alias("parts")
+    ).select("__key", "__item", "windows", F.inline("parts")).where((F.col("held") > 0) & (F.col("held") >= rules.coverage * F.col("windows")))
     items, texts = F.col("pairs.item_values"), F.col("pairs.values")
     names = F.filter("pairs", lambda p: p["item_values"].startswith("n:"))
     consistent = (F.size(F.array_distinct(items)) == F.size("pairs")) & (

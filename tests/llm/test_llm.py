@@ -367,6 +367,21 @@ def test_leaks(spark, empty):
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_repeating_items(spark):
+    """An item that repeats its template is found verbatim, with new values and with a word put in."""
+    item = "Tom has 3 red apples, Ann has 4 red apples, Bob has 5 red apples, Eve has 6 red apples in total now"
+    new = "Max has 8 red apples, Ida has 9 red apples, Tim has 2 red apples, Zoe has 7 red apples in total now"
+    put = item.replace("Eve has 6", "then Eve has 6")
+    clash = "Max has 8 red apples, Max has 9 red apples, Max has 2 red apples, Max has 8 red apples in total now"
+    filler = " ".join(made_texts(1, 8))
+    texts = [f"{filler} {item} {filler}", f"{filler} so {new} {filler}", f"{filler} {put} {filler}", f"{filler} so {clash} {filler}", item]
+    docs = spark.createDataFrame([(i, t, "", "", 0, 0.0, "") for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r for r in decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id int, text string")).collect()}
+    assert set(got) == {0, 1, 2, 4}
+    assert got[0]["verbatim"] and got[0]["coverage"] == 1.0 and got[2]["verbatim"] and got[4]["verbatim"]
+    assert not got[1]["verbatim"] and got[1]["changed"] >= 6
+
+
 # --- 5 and 10: classifiers ----------------------------------------------------------------
 
 
