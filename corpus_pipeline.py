@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import load, stored
-from millrace.llm.decontaminate import decontaminate
+from millrace.llm.decontaminate import LeakRules, decontaminate
 from millrace.llm.line_dedup import deduplicate_lines
 from millrace.llm.near_dup import JoinRules, near_duplicates
 from millrace.llm.packing import pack
@@ -20,6 +20,7 @@ from millrace.llm.toxicity import fit_toxicity, held_out, score_texts
 TOXIC = 0.7
 #: Near duplicates: five-word shingles, a similarity of 0.8 or more.
 NEAR = JoinRules(words=5, percent=80)
+LEAKS = LeakRules(any_case=True)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    return decontaminate(docs, load(spark, sf_dir, "benchmark"))
+    return decontaminate(docs, load(spark, sf_dir, "benchmark"), rules=LEAKS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

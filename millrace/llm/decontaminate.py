@@ -6,6 +6,9 @@ the benchmark; the windows of one occurrence must cover enough of the item; and
 behind the placeholders must be consistent: one value of the item always stands for one
 value of the text, as in a question with new parameters, and different names for different
 names.  Else the match is a common phrase with chance values.
+
+Beside them, windows of the bare words are joined in the same way, so that a verbatim copy is
+found whatever its placeholders are: an item of numbers and names only, a very short one.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from millrace.llm.common import groups_of, hash_spans, in_bitmap, key_bitmap, mi
 class LeakRules:
     #: Tokens of a window; a shorter item is one window of its own size.
     window: int = 8
-    #: Items of fewer tokens say too little to be found.
+    #: Items of fewer tokens have no template; they are found verbatim only.
     least: int = 4
     #: Windows with fewer words beside placeholders are no evidence.
     literals: int = 3
@@ -33,6 +36,8 @@ class LeakRules:
     coverage: float = 0.5
     #: Shift in tokens that insertions and deletions may cause within an occurrence.
     slack: int = 8
+    #: Verbatim copies are found whatever their capitals (A-Z and those of Latin-1).
+    any_case: bool = False
 
 
 # Units that count as such after a number.
@@ -57,6 +62,7 @@ _LOWER = _table("abcdefghijklmnopqrstuvwxyz")
 _LOWER[128:] = True
 _UPPER = _table("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _STOP, _CLOSER = _table(".!?:"), _table("\"')]")
+_LITERAL = np.uint64(0x5851F42D4C957F2D)
 _PLACE = {name: mix64(np.array([k], dtype=np.uint64))[0] for k, name in enumerate(("number", "unit", "name"), 1)}
 
 
@@ -80,11 +86,14 @@ class Tokens:
     owner: np.ndarray  # text
     place: np.ndarray  # number within the text
     capital: np.ndarray  # a word written like a name
+    words: np.ndarray  # hashes of the words themselves
 
 
-def canonical(raw: np.ndarray, part: np.ndarray) -> Tokens:
+def canonical(raw: np.ndarray, part: np.ndarray, any_case: bool = True) -> Tokens:
     """Bare words in lower case (A-Z and the capitals of Latin-1) or placeholders.
 
+    ``words`` keeps the words behind them, as written unless ``any_case``.
+
     Words without a letter or digit are no tokens.  A number begins with a digit and has at
     most two bytes beside digits and their separators; a unit is one of UNITS after a number;
     a name is a capitalised word that does not begin a sentence, a line or a text.
@@ -128,7 +137,8 @@ def canonical(raw: np.ndarray, part: np.ndarray) -> Tokens:
     out = np.select([number, unit, name], [_PLACE["number"], _PLACE["unit"], _PLACE["name"]], codes)
     per = np.bincount(owner, minlength=len(part) - 1)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
-    return Tokens(out, number | unit | name, begin + base, end + base, owner, place, capital)
+    words = codes if any_case else hash_spans(data, begin, end)
+    return Tokens(out, number | unit | name, begin + base, end + base, owner, place, capital, words)
 
 
 def template_windows(t: Tokens, n: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
@@ -141,6 +151,15 @@ def template_windows(t: Tokens, n: int, literals: int) -> tuple[np.ndarray, np.n
     return at, shingle_hashes(t.codes, n)[at].view(np.int64)
 
 
+def literal_windows(t: Tokens, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first token, hash) of all windows of ``n`` words within one text."""
+    m = len(t.words) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(t.owner[:m] == t.owner[n - 1 :])
+    return at, mix64(shingle_hashes(t.words, n)[at] ^ _LITERAL).view(np.int64)
+
+
 def _values(t: Tokens, raw: np.ndarray, at: int, n: int) -> list[str]:
     """Lower-case words behind the placeholders of a window, each marked with its kind."""
     out = []
@@ -151,17 +170,27 @@ def _values(t: Tokens, raw: np.ndarray, at: int, n: int) -> list[str]:
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str, rules: LeakRules) -> DataFrame:
-    """(hash, item, item_pos, size, windows, item_values) of the benchmark's windows."""
+    """(hash, item, item_pos, size, windows, item_values, literal) of the benchmark's windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
-            rows, hashes, place, size, total, values = [], [], [], [], [], []
+            rows, hashes, place, size, total, values, literal = [], [], [], [], [], [], []
             for i in range(batch.num_rows):
-                t = canonical(raw, offsets[i : i + 2])
-                if len(t.codes) < rules.least:
+                t = canonical(raw, offsets[i : i + 2], rules.any_case)
+                if not len(t.codes):
                     continue
                 n = min(rules.window, len(t.codes))
+                at, found = literal_windows(t, n)
+                rows += [i] * len(at)
+                hashes += found.tolist()
+                place += t.place[at].tolist()
+                size += [n] * len(at)
+                total += [len(at)] * len(at)
+                values += [[]] * len(at)
+                literal += [True] * len(at)
+                if len(t.codes) < rules.least:
+                    continue
                 kinds = [(t, *template_windows(t, n, rules.literals))]
                 if t.capital[0]:  # put into a sentence, its first word looks like a name
                     codes, slot = t.codes.copy(), t.slot.copy()
@@ -178,15 +207,16 @@ def item_windows(benchmark: DataFrame, item: str, text: str, rules: LeakRules) -
                         size.append(n)
                         total.append(count)
                         values.append(_values(shape, raw, a, n))
+                        literal.append(False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.int64()), batch.column(0).take(pa.array(rows, pa.int64())), pa.array(place, pa.int32()),
-                 pa.array(size, pa.int32()), pa.array(total, pa.int32()), pa.array(values, pa.list_(pa.string()))],
-                ["hash", item, "item_pos", "size", "windows", "item_values"],
+                 pa.array(size, pa.int32()), pa.array(total, pa.int32()), pa.array(values, pa.list_(pa.string())), pa.array(literal, pa.bool_())],
+                ["hash", item, "item_pos", "size", "windows", "item_values", "literal"],
             )
 
     kind = benchmark.schema[item].dataType.simpleString()
     source = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item), F.col(text).cast("string"))
-    return source.mapInArrow(cut, f"hash bigint, `{item}` {kind}, item_pos int, size int, windows int, item_values array<string>")
+    return source.mapInArrow(cut, f"hash bigint, `{item}` {kind}, item_pos int, size int, windows int, item_values array<string>, literal boolean")
 
 
 def text_windows(docs: DataFrame, windows: DataFrame, key: str, text: str, rules: LeakRules) -> DataFrame:
@@ -198,9 +228,17 @@ def text_windows(docs: DataFrame, windows: DataFrame, key: str, text: str, rules
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
             for i, j in groups_of(offsets):
-                t = canonical(raw, offsets[i : j + 1])
+                t = canonical(raw, offsets[i : j + 1], rules.any_case)
                 rows, hashes, place, values = [], [], [], []
                 for n in sizes:
+                    at, found = literal_windows(t, n)
+                    hit = in_bitmap(bitmap.value, found)
+                    rows += (i + t.owner[at[hit]]).tolist()
+                    hashes += found[hit].tolist()
+                    place += t.place[at[hit]].tolist()
+                    values += [[]] * int(hit.sum())
+                    if n < rules.least:
+                        continue
                     at, found = template_windows(t, n, rules.literals)
                     hit = in_bitmap(bitmap.value, found)
                     for a, h in zip(at[hit], found[hit], strict=True):
@@ -226,13 +264,13 @@ def leaks(
     """Documents that hold a benchmark item, verbatim or with other parameters.
 
     One row per document and item: key, item, coverage (share of the item's windows in its
-    best occurrence), first_token (of that occurrence), slots (placeholders compared),
-    changed (of them with another value) and verbatim.  An item of fewer than ``least``
-    tokens, null texts and null keys match nothing.  Equal items are each reported, equal
+    best occurrence), first_token (of that occurrence), slots (placeholders compared, none
+    if only its bare words were), changed (of them with another value) and verbatim.  An
+    item without a token, null texts and null keys match nothing.  Equal items are each reported, equal
     rows are one document, an empty table on either side gives an empty table.
     """
     windows = item_windows(benchmark, item, item_text, rules)
-    named = windows.select("hash", F.col(item).alias("__item"), "item_pos", "windows", "item_values")
+    named = windows.select("hash", F.col(item).alias("__item"), "item_pos", "windows", "item_values", "literal")
     hits = text_windows(docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")), windows, "__key", "__text", rules)
     matched = hits.join(named, "hash").distinct()
     # shifts of one occurrence may fall on a border: two rounds of buckets, half a bucket apart
@@ -241,7 +279,7 @@ def leaks(
         F.struct(F.lit(0).alias("round"), F.floor(shift / wide).alias("bucket")),
         F.struct(F.lit(1).alias("round"), F.floor((shift + rules.slack) / wide).alias("bucket")),
     )))
-    occurrence = ["__key", "__item", "run"]
+    occurrence = ["__key", "__item", "literal", "run"]
     # an item that repeats its template also matches itself some tokens on: of two matches at one
     # place of the item or of the text, the one whose exact shift has more of the windows is meant
     runs = runs.withColumn("shift", shift)

@@ -64,7 +64,7 @@ def op9(spark, sf):
 
 @query("op4_template_leaks")
 def op4(spark, sf):
-    return decontaminate.leaks(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    return decontaminate.leaks(load(spark, sf, "documents"), load(spark, sf, "benchmark"), rules=decontaminate.LeakRules(any_case=True))
 
 
 @query("op3_license_scans", licenses.notices_sql())

@@ -382,6 +382,30 @@ def test_leaks_of_repeating_items(spark):
     assert not got[1]["verbatim"] and got[1]["changed"] >= 6
 
 
+def test_verbatim_leaks_without_templates(spark, tmp_path):
+    """Other capitals, windows poor in literals, and items of few tokens, in the operator, the query and the pipeline."""
+    import corpus_pipeline
+
+    from millrace.llm.queries import QUERIES
+
+    item = "A farmer called Anna Berg has 12 apples and gives Carl Holm 5 of the apples before Anna walks home to Lena Berg."
+    numbers = "Compute 12 + 5 7 9 11 13 15 17 19 for Anna Berg Carl Holm Lena Dahl Omar Lind"
+    filler = " ".join(made_texts(1, 8))
+    texts = [f"{filler} {item.lower()} {filler}", f"{filler}\n{numbers}\n{filler}", f"{filler} two Words {filler}", filler, f"{filler} {item.upper()}", "two x words"]
+    docs = spark.createDataFrame([(i, t, "", "", 0, 0.0, "") for i, t in enumerate(texts)], SCHEMA)
+    bench = spark.createDataFrame([(1, item), (2, numbers), (3, "Two words"), (4, "...")], "item_id int, text string")
+    rules = decontaminate.LeakRules(any_case=True)
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(docs, bench, rules=rules).collect()}
+    assert set(got) == {(0, 1), (1, 2), (2, 3), (4, 1)}
+    assert all(r["verbatim"] and r["coverage"] == 1.0 for r in got.values())
+    assert got[(2, 3)]["first_token"] == len(words_of(filler))
+    assert {(r[0], r[1]) for r in decontaminate.leaks(docs, bench).collect()} == {(1, 2)}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {(r[0], r[1]) for r in QUERIES["op4_template_leaks"](spark, str(tmp_path)).collect()} == set(got)
+    assert {r[0] for r in corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()} == {3, 5}
+
+
 # --- 5 and 10: classifiers ----------------------------------------------------------------
 
 
