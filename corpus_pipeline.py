@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each line class keeps its first occurrence; a document of which no line is left goes."""
-    return deduplicate_lines(docs)
+    return deduplicate_lines(docs, exact_chars=1)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

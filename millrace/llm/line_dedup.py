@@ -5,6 +5,8 @@ of them unchanged.  Segments are indexed by (L, number, content).  A line probes
 indexes of its own length and of up to ``tau`` less, with the substrings whose start can
 still match once edits on both sides are counted.  Pairs that share a key are verified by
 a banded bit-parallel edit distance.  Lengths and edits count characters.
+
+Lines too short for edits are grouped by their digest alone.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from millrace.llm.common import _MASK, _power_tables, groups_of, in_bitmap, key_
 from millrace.llm.linking import linked
 
 TAU = 2
-#: Shorter lines are never removed: two edits would change what they say.
+#: Shorter lines are compared by equality only: two edits would change what they say.
 MIN_CHARS = 24
 _FULL = (1 << 64) - 1
 _ONE = np.uint64(0x9FB21C651E98DF25)
@@ -137,20 +139,21 @@ def _lines_of(column: pa.Array, min_chars: int) -> Iterator[tuple[int, _Lines]]:
         yield i, _Lines(raw, offsets[i : j + 1], min_chars)
 
 
-def line_table(docs: DataFrame, key: str, text: str, tau: int, min_chars: int) -> DataFrame:
-    """(key, line_no, line_id, indexed keys, probe keys) of every line; keys once per batch and line."""
+def line_table(docs: DataFrame, key: str, text: str, tau: int, min_chars: int, exact_chars: int) -> DataFrame:
+    """(key, line_no, line_id, indexed keys, probe keys) of every line of ``exact_chars`` characters;
+    keys once per batch and line, from ``min_chars`` characters on."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = np.zeros(0, dtype=np.int64)
-            for first, lines in _lines_of(batch.column(1), min_chars):
+            for first, lines in _lines_of(batch.column(1), min(exact_chars, min_chars)):
                 n = len(lines.ids)
                 if not n:
                     continue
                 _, fresh = np.unique(lines.ids, return_index=True)
                 fresh = np.sort(fresh[~np.isin(lines.ids[fresh], seen)])
                 seen = np.concatenate([seen, lines.ids[fresh]])
-                found = lines.keys(fresh, tau)
+                found = lines.keys(fresh[(lines.end - lines.begin)[fresh] >= min_chars], tau)
                 lists = []
                 for kind in (True, False):
                     at = np.concatenate([a for a, _, x in found if x is kind] or [np.zeros(0, np.int64)])
@@ -264,7 +267,9 @@ def _confirm(texts: DataFrame, tau: int):
     return confirm
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int | None = None,
+) -> DataFrame:
     """Every line that has an equal or near equal line elsewhere.
 
     One row per occurrence: key, line_no (from 0), line_id (a digest of the line), class_key
@@ -272,11 +277,12 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", tau
     (occurrences in the class), ``exact`` (the first occurrence has the same text) and
     ``kept`` (it is that first one).  A class joins lines by chains of at most ``tau`` edits.
 
-    Lines of fewer than ``min_chars`` characters or without a word take no part, nor do rows
+    Lines of ``exact_chars`` (``min_chars`` if not given) to ``min_chars`` characters are joined
+    with equal lines only.  Shorter ones or those without a word take no part, nor do rows
     with a null key; null and empty texts have no lines.  Rows with equal key and text count
     as one row and each comes out.  A very long line is compared whole.
     """
-    lines = stored(line_table(docs, key, text, tau, min_chars), "lines")
+    lines = stored(line_table(docs, key, text, tau, min_chars, min_chars if exact_chars is None else exact_chars), "lines")
     shared = stored(_members(lines), "members")
     texts = stored(_texts(docs, shared.select("id").distinct(), text, min_chars), "texts")
     members = stored(shared.join(texts.select("id", "grams"), "id"), "members")
@@ -295,13 +301,15 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", tau
     )
 
 
-def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicate_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int | None = None,
+) -> DataFrame:
     """``docs`` without the repeated lines; a text of which nothing is left goes.
 
     Columns stay as they are, but for ``n_chars``, which follows the text if it is there.
     Texts without a repeated line, rows with a null key and null texts stay unchanged.
     """
-    gone = repeated_lines(docs, key, text, tau, min_chars).where("not kept")
+    gone = repeated_lines(docs, key, text, tau, min_chars, exact_chars).where("not kept")
     per_doc = gone.groupBy(F.col(key).alias("__key")).agg(F.collect_set("line_no").alias("__gone"))  # a document's own lines
     lines = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")

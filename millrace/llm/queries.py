@@ -54,7 +54,7 @@ def op5(spark, sf):
 
 @query("op2_edit_lines")
 def op2(spark, sf):
-    return line_dedup.repeated_lines(load(spark, sf, "documents"))
+    return line_dedup.repeated_lines(load(spark, sf, "documents"), exact_chars=1)
 
 
 @query("op9_chosen_path")

@@ -244,6 +244,37 @@ def test_long_lines_and_passages(spark):
     assert 50 in out and 51 not in out
 
 
+def test_short_lines_repeat_exactly(spark, line_rows, tmp_path):
+    """Short lines go by equality in the operator, the query and the pipeline; the others stay as they were."""
+    import corpus_pipeline
+
+    from millrace.llm.queries import QUERIES
+
+    def places(found):
+        return {(r["doc_id"], r["line_no"]): (r["class_key"], r["class_line_no"], r["class_lines"], r["exact"], r["kept"]) for r in found.collect()}
+
+    notice = "All rights reserved."
+    rows = [(i, f"{notice}\nown words of text {i * 1111111} and more {i * 77777}\n}}\n \nAll rights reserved{'!' * i}", "", "", 0, 0.0, "") for i in range(1, 4)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    expected = {(i, k): (1, k, 3, True, i == 1) for i in (1, 2, 3) for k in (0, 2)}
+    assert places(line_dedup.repeated_lines(docs, exact_chars=1)) == expected and line_dedup.repeated_lines(docs).count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert places(QUERIES["op2_edit_lines"](spark, str(tmp_path))) == expected
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect()}
+    assert left[1] == rows[0][1] and left[2] == "own words of text 2222222 and more 155554\n \nAll rights reserved!!"
+
+    mixed = spark.createDataFrame(line_rows, SCHEMA)
+    got, long_only = places(line_dedup.repeated_lines(mixed, min_chars=20, exact_chars=1)), places(line_dedup.repeated_lines(mixed, min_chars=20))
+    assert long_only and long_only.items() <= got.items()
+    where = collections.defaultdict(set)
+    for key, text, *_ in line_rows:
+        for i, line in enumerate((text or "").split("\n")):
+            if key is not None and len(line) < 20 and words_of(line):
+                where[line].add((key, i))
+    short = {m for at in where.values() if len(at) > 1 or next(iter(at))[0] == 5 for m in at}  # row 5 is there twice
+    assert short == set(got) - set(long_only) and len(short) > 2
+
+
 # --- 9: near duplicates, components -------------------------------------------------------
 
 
