@@ -31,7 +31,8 @@ class JoinRules:
     words: int = 5
     #: Least Jaccard similarity in hundredths.
     percent: int = 80
-    trees: int = 16
+    #: Under 1 in 1000 for a pair at 80 hundredths to part in all trees, by its shared coordinates (tested).
+    trees: int = 32
     coordinates: int = 256
     #: Hundredths below the threshold down to which a pair's expected number of common nodes does
     #: not fall with the depth (the agreement of its coordinates scatters around its similarity).
@@ -42,7 +43,7 @@ class JoinRules:
     rounds: int = 3
     levels: int = 5
     #: Standard deviations below the threshold at which an estimate rules a pair out.
-    margin: float = 4.5
+    margin: float = 7.0
 
     def least_bits(self) -> int:
         """Equal bits of two sketches, at ``margin`` below the mean of a pair at the threshold.

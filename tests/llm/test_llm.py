@@ -327,6 +327,28 @@ def test_large_groups_branch(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 3, 85)
 
 
+@pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
+def test_miss_at_the_threshold(n, percent):
+    """Calculated for a pair at the threshold: all trees share the coordinates, and every node branches to the end."""
+    rules = near_dup.JoinRules(words=n, percent=percent)
+    size, more = rules.coordinates, 100 / (percent - rules.slack) - 1
+
+    def chance(k, m, p):
+        return math.comb(m, k) * p**k * (1 - p) ** (m - k)
+
+    branched = roots = 0.0
+    for agree in range(size + 1):
+        dead = 0.0  # of a node that holds the pair: no common node is left below it
+        for _ in range(rules.levels * rules.rounds):
+            child = 1 - agree / size * (1 - dead)
+            dead = (1 - more) * child + more * child**2
+        of_roots = [math.comb(agree, j) * math.comb(size - agree, rules.trees - j) / math.comb(size, rules.trees) for j in range(rules.trees + 1)]
+        branched += chance(agree, size, percent / 100) * sum(x * dead**j for j, x in enumerate(of_roots))
+        roots += chance(agree, size, percent / 100) * of_roots[0]
+    sketch = sum(chance(k, size, (1 + percent / 100) / 2) for k in range(rules.least_bits()))
+    assert branched + sketch < 1e-3 and roots + sketch < 1e-9
+
+
 def test_near_duplicates_of_nothing(spark, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
