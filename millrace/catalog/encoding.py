@@ -103,6 +103,22 @@ def impute_auto_family(spark, sf):
     return _auto(spark, sf, "family")
 
 
+@query(
+    "impute_auto_family_dates",
+    r(
+        f"""with d as (select event_id, ts, v, case when v is not null then ts end as seen from {GE})
+        select event_id, coalesce(v, (select median(v) from d)) as v,
+            coalesce(last_value(seen ignore nulls) over (order by ts, event_id rows between unbounded preceding and current row),
+                first_value(seen ignore nulls) over (order by ts, event_id rows between current row and unbounded following)) as seen
+        from d""",
+        "v",
+    ),
+)
+def impute_auto_family_dates(spark, sf):
+    df = derived(spark, sf, "gappy_events").select("event_id", "ts", "v", F.when(F.col("v").isNotNull(), F.col("ts")).alias("seen"))
+    return tidy(impute.fill_by_family(df, ["ts", "event_id"]).select("event_id", "v", "seen"))
+
+
 @query(
     "impute_auto_skew",
     r(

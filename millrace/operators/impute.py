@@ -85,7 +85,7 @@ def fit_impute(df: DataFrame, strategies: dict[str, str]) -> Step:
 def auto_by_family(df: DataFrame) -> dict[str, str]:
     """Numeric median, boolean mode, everything else Unknown.
 
-    Time columns need an order key for a forward fill; see ``ffill``."""
+    Time columns need an order key for a forward fill; see ``fill_by_family``."""
     out = {c: "median" for c in S.numeric_columns(df)}
     out.update({c: "mode" for c in S.boolean_columns(df)})
     out.update({c: "unknown" for c in S.text_columns(df)})
@@ -130,6 +130,18 @@ def ffill(df: DataFrame, columns: list[str], order_by: list[str], partition_by:
     return out.withColumns(pick).drop(*wanted)
 
 
+def fill_by_family(
+    df: DataFrame, order_by: list[str], partition_by: list[str] = (), skip=(), overrides: dict[str, str] | None = None, head: bool = True,
+) -> DataFrame:
+    """The family rule with its forward fill of time columns (see ``ffill``).
+
+    Order and partition columns are keys and stay as they are."""
+    keys = {*order_by, *partition_by, *skip}
+    step = fit_impute_auto(df, "family", overrides, keys)
+    times = [c for c in S.time_columns(df) if c not in keys and c not in (overrides or {})]
+    return step.transform(ffill(df, times, order_by, partition_by, head) if times else df)
+
+
 def bfill(df: DataFrame, columns: list[str], order_by: list[str], partition_by: list[str] = (), tail: bool = True) -> DataFrame:
     """Next seen value; with ``tail`` the trailing gap takes the last value."""
     wanted = {f"__a_{c}": (col(c), "after") for c in columns}

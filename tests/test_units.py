@@ -465,3 +465,13 @@ def test_step_on_missing_columns_is_a_no_op(spark):
     df = spark.range(3)
     step = Step("onehot", {"column": "gone", "values": ["a"]})
     assert step.transform(df).columns == ["id"]
+
+
+def test_family_rule_fills_dates(spark):
+    rows = [(1, "a", None, None), (2, "a", 3.0, "2020-01-02"), (3, "a", None, None), (1, "b", 5.0, None), (2, "b", 9.0, "2021-05-05")]
+    df = spark.createDataFrame(rows, "t int, k string, x double, d string").withColumn("d", F.col("d").cast("date"))
+    got = {(r["k"], r["t"]): (r["x"], str(r["d"])) for r in impute.fill_by_family(df, ["t"], ["k"]).collect()}
+    assert got == {
+        ("a", 1): (5.0, "2020-01-02"), ("a", 2): (3.0, "2020-01-02"), ("a", 3): (5.0, "2020-01-02"),
+        ("b", 1): (5.0, "2021-05-05"), ("b", 2): (9.0, "2021-05-05"),
+    }
