@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, decontaminate, licenses, line_dedup, near_dup, packing, quality, sharding, toxicity, url_tree
+from millrace.llm import (
+    checks, collocations, compression, decontaminate, licenses, line_dedup, merkle, near_dup, packing, quality, sharding, simhash, toxicity, url_tree,
+)
 from millrace.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +77,18 @@ def op3(spark, sf):
 @query("op8_path_templates")
 def op8(spark, sf):
     return url_tree.judge_urls(load(spark, sf, "pages"))
+
+
+@query("op11_bit_sliced_simhash")
+def op11(spark, sf):
+    return simhash.simhash_duplicates(load(spark, sf, "documents"))
+
+
+@query("op12_collocations", checks.COLLOCATIONS)
+def op12(spark, sf):
+    return collocations.collocations(load(spark, sf, "documents"))
+
+
+@query("op13_merkle_manifest", checks.manifest_sql())
+def op13(spark, sf):
+    return merkle.manifest(load(spark, sf, "documents"), altered={"text": merkle.without_newlines("doc_id", "text")})
