@@ -152,11 +152,11 @@ def fill_nearest(
     order = [col(c) for c in order_by]
     w = Window.partitionBy("__k", "__ch").orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    # in reverse order: a frame that ends at the last row is evaluated anew for every row
+    back = Window.partitionBy("__k", "__ch").orderBy(*[o.desc() for o in order])
+    onward = back.rowsBetween(Window.unboundedPreceding, 0)
     local = {
-        name: F.last(f"__v_{name}", True).over(upto)
-        if side == "before"
-        else F.first(f"__v_{name}", True).over(onward)
+        name: F.last(f"__v_{name}", True).over(upto if side == "before" else onward)
         for name, (_, side) in wanted.items()
     }
     if not split:
