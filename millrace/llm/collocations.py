@@ -41,7 +41,7 @@ _GAP[[9, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text counted together before counts leave a task.
-BLOCK = 1 << 24
+BLOCK = 1 << 21
 _ROWS = 1 << 16
 
 
@@ -61,28 +61,35 @@ def _blocks(langs: pa.Array, texts: pa.Array) -> Iterator[tuple[_Block, pa.Array
     lang_of, many = np.asarray(names.indices), max(1, len(names.dictionary))
     raw, offsets = text_bytes(texts)
     for i, j in groups_of(offsets, BLOCK):
-        base, end = int(offsets[i]), int(offsets[j])
-        data = _LOWER[raw[base:end]]
-        solid = ~_GAP[data]
-        cut = np.zeros(len(data) + 1, dtype=bool)
-        cut[offsets[i : j + 1] - base] = True
-        first = solid.copy()
-        first[1:] &= ~solid[:-1] | cut[1:-1]
-        starts = np.flatnonzero(first)
-        if not len(starts):
-            continue
-        kept = np.cumsum(solid)
-        bounds = np.append(kept[starts] - 1, kept[-1])
-        wide = pa.large_string() if bounds[-1] >= 1 << 31 else pa.string()
-        ends = bounds.astype(np.int64 if wide == pa.large_string() else np.int32)
-        words = pa.Array.from_buffers(wide, len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[solid])]).dictionary_encode()
-        text = np.searchsorted(offsets[i : j + 1] - base, starts, "right") - 1
-        # a break is any character between pieces, or the start of a text
-        breaks = np.cumsum(_BREAK[data] | cut[:-1])
-        joined = np.zeros(len(starts), dtype=bool)
-        joined[1:] = (breaks[starts[1:]] == breaks[starts[:-1]]) & (text[1:] == text[:-1])
-        own, ids = np.unique(np.asarray(words.indices).astype(np.int64) * many + lang_of[i:j][text], return_inverse=True)
-        yield _Block(words.dictionary.take(pa.array(own // many)).cast(pa.string()), own % many, ids, joined), names.dictionary
+        block = _block(raw[int(offsets[i]) : int(offsets[j])], offsets[i : j + 1] - offsets[i], lang_of[i:j], many)
+        if block is not None:
+            yield block, names.dictionary
+
+
+def _block(raw: np.ndarray, offsets: np.ndarray, lang_of: np.ndarray, many: int) -> _Block | None:
+    """The words of texts at ``offsets`` of ``raw``; its working arrays end with the call."""
+    wide = len(raw) >= 1 << 31
+    count = np.int64 if wide else np.int32
+    data = _LOWER[raw]
+    solid = ~_GAP[data]
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[offsets] = True
+    first = solid.copy()
+    first[1:] &= ~solid[:-1] | cut[1:-1]
+    starts = np.flatnonzero(first).astype(count)
+    if not len(starts):
+        return None
+    # a break is any character between pieces, or the start of a text
+    breaks = np.cumsum(_BREAK[data] | cut[:-1], dtype=count)[starts]
+    joined = np.zeros(len(starts), dtype=bool)
+    joined[1:] = breaks[1:] == breaks[:-1]
+    kept = np.cumsum(solid, dtype=count)
+    bounds = np.append(kept[starts] - 1, kept[-1]).astype(count)
+    kind = pa.large_string() if wide else pa.string()
+    words = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])]).dictionary_encode()
+    lang = lang_of[np.searchsorted(offsets, starts, "right") - 1]
+    own, ids = np.unique(np.asarray(words.indices).astype(np.int64) * many + lang, return_inverse=True)
+    return _Block(words.dictionary.take(pa.array(own // many)).cast(pa.string()), own % many, ids, joined)
 
 
 def _pairs(block: _Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
