@@ -1,20 +1,34 @@
-"""Exact k nearest neighbours by blocks.
+"""Exact k nearest neighbours by pivot cells.
 
-Both sides are cut into hash blocks of bounded size; each pair of blocks is one
-task that multiplies two small matrices and keeps k candidates per query, so
-neither side is collected or broadcast and no list of all pairs exists.
+A bounded set of train rows serves as pivots.  Each train row belongs to the cell of its
+nearest pivot and to a ring of it, a range of distances to the pivot.  By the triangle
+inequality a query learns from the pivots alone how near and how far the rows of a ring can
+be.  It first visits the rings that are sure to hold k rows; the k-th distance found there
+rules out all rings that lie farther away, and only the others are visited.  Large rings are
+dealt into blocks, so a task holds a bounded number of rows of either side; neither side is
+collected, and ties are decided by the id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import col, dbl
+from millrace.session import scratch_dir
 
 BLOCK_ROWS = 8_000
+#: Pivots and rings per pivot that may go to every task (with one row of distances per query).
+MAX_PIVOTS, MAX_RINGS = 512, 32
+#: Distances are compared to so many digits, so bounds leave that much room.
+DIGITS = 9
+#: Share of the compared squares by which a bound may err in double precision.
+ROUNDING = 1e-12
 
 
 def _vectors(df: DataFrame, key: str, features) -> DataFrame:
@@ -26,40 +40,205 @@ def _vectors(df: DataFrame, key: str, features) -> DataFrame:
     return df.select(col(key).alias("id"), v.alias("v"))
 
 
-def neighbours(train: DataFrame, queries: DataFrame, key: str, features, k: int = 5, exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, id, distance, rank): the k closest train rows of each query."""
-    t, q = _vectors(train, key, features), _vectors(queries, key, features)
-    n_t, n_q = max(1, -(-t.count() // block_rows)), max(1, -(-q.count() // block_rows))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    t = t.withColumn("tb", block(n_t)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-    q = q.withColumn("qb", block(n_q)).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(n_t - 1))))
-    id_type = queries.schema[key].dataType.simpleString()
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances between two small sets, from differences (no cancellation)."""
+    out = np.empty((len(a), len(b)))
+    for j, row in enumerate(b):
+        out[:, j] = np.sqrt(((a - row) ** 2).sum(axis=1))
+    return out
+
+
+@dataclass
+class Cells:
+    """Pivots, the edges of each cell's rings, and per ring: pivot, rows, least and greatest distance."""
+
+    pivots: np.ndarray
+    edges: list[np.ndarray]
+    ring_pivot: np.ndarray
+    ring: np.ndarray
+    rows: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def bounds(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(nearest possible, farthest possible) row of each ring (columns) for each query."""
+        to = _distances(v, self.pivots)
+        d = to[:, self.ring_pivot]
+        near = np.maximum(np.maximum(d - self.high, self.low - d), 0.0)
+        # a row of a cell is nearer to its own pivot than to the query's: beyond the bisector
+        own = to.argmin(axis=1)
+        gap = _distances(self.pivots, self.pivots)[own][:, self.ring_pivot]
+        nearest = to[np.arange(len(v)), own][:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            across = np.where(gap > 0, (d**2 - nearest**2 - ROUNDING * (d**2 + nearest**2)) / (2 * gap), 0.0)
+        return np.maximum(near - ROUNDING * (d + self.high), across), d + self.high
+
+    def assign(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(v, self.pivots)
+        cell = d.argmin(axis=1)
+        return cell, d[np.arange(len(v)), cell]
+
+    def sure(self, near: np.ndarray, far: np.ndarray, k: int) -> np.ndarray:
+        """Which rings are visited first: by their farthest row, until they hold k rows."""
+        order = np.argsort(far, axis=1, kind="stable")
+        before = np.cumsum(self.rows[order], axis=1) - self.rows[order]
+        out = np.zeros(far.shape, dtype=bool)
+        np.put_along_axis(out, order, before < k, axis=1)
+        return out
+
+
+def _room(distance: np.ndarray) -> np.ndarray:
+    return distance + 10.0**-DIGITS * 2 + 1e-9 * distance
+
+
+def fit_cells(train: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> Cells:
+    """Cells over (id, v) of ``n`` rows.  The pivots are a sample by hash, at most MAX_PIVOTS rows;
+    ring edges are quantiles of the distances in a cell."""
+    wanted = int(min(MAX_PIVOTS, max(1, round((n / block_rows) ** 0.5 * 4), n // block_rows)))
+    picked = train.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
+    pivots = np.unique(np.array([r["v"] for r in picked], dtype="float64"), axis=0)
+    cells = Cells(pivots, [], *[np.zeros(0)] * 5)
+    probs = F.array(*[F.lit(i / MAX_RINGS) for i in range(1, MAX_RINGS)])
+    inside = _placed(train, cells, ringed=False)
+    facts = inside.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("r", probs, F.lit(1000)).alias("q")).collect()
+    cells.edges = [np.zeros(0)] * len(pivots)
+    for f in facts:
+        rings = min(MAX_RINGS, -(-f["n"] // block_rows))
+        at = [round(i * MAX_RINGS / rings) - 1 for i in range(1, rings)]
+        cells.edges[f["cell"]] = np.unique([f["q"][i] for i in at])
+    found = _placed(train, cells).groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")).collect()
+    found.sort(key=lambda r: (r["cell"], r["ring"]))  # at most MAX_PIVOTS * MAX_RINGS rows
+    cells.ring_pivot, cells.ring, cells.rows = (np.array([r[c] for r in found], dtype="int64") for c in ("cell", "ring", "n"))
+    cells.low, cells.high = (np.array([r[c] for r in found], dtype="float64") for c in ("lo", "hi"))
+    return cells
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A table below the shared checkpoint folder, read again."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stack(values: pd.Series, width: int) -> np.ndarray:
+    return np.stack(values.to_numpy()).astype("float64") if len(values) else np.zeros((0, width))
+
+
+def _placed(train: DataFrame, cells: Cells, ringed: bool = True) -> DataFrame:
+    """Train rows with their cell, ring and distance to the pivot."""
+    width = cells.pivots.shape[1]
+
+    def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            cell, r = cells.assign(_stack(part["v"], width))
+            ring = np.zeros(len(part), dtype="int64")
+            if ringed:
+                for c in np.unique(cell):
+                    ring[cell == c] = np.searchsorted(cells.edges[c], r[cell == c], "right")
+            yield part.assign(cell=cell, ring=ring, r=r)
 
-    def closest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    kind = train.schema["id"].dataType.simpleString()
+    return train.mapInPandas(place, f"id {kind}, v array<double>, cell bigint, ring bigint, r double")
+
+
+def _visits(queries: DataFrame, cells: Cells, k: int, radius: bool) -> DataFrame:
+    """(id, v, at): the rings a query visits first; with ``radius``, those it visits then, which
+    may hold a row at that distance or nearer."""
+    width = cells.pivots.shape[1]
+    step = max(1, 4_000_000 // max(1, len(cells.rows)))
+
+    def visit(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in parts:
+            for i in range(0, len(whole), step):
+                part = whole.iloc[i : i + step]
+                near, far = cells.bounds(_stack(part["v"], width))
+                first = cells.sure(near, far, k)
+                if radius:
+                    first = ~first & (near <= _room(part["radius"].to_numpy(dtype="float64"))[:, None])
+                row, at = np.nonzero(first)
+                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row], "at": at})
+
+    kind = queries.schema["id"].dataType.simpleString()
+    return queries.mapInPandas(visit, f"id {kind}, v array<double>, at bigint")
+
+
+def _closest(take: int):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "id": [], "distance": []})
         a = np.stack(right["v"].to_numpy()).astype("float64")
         b = np.stack(left["v"].to_numpy()).astype("float64")
         ids, qids = left["id"].to_numpy(), right["id"].to_numpy()
-        take = min(len(b), k + 1 if exclude_self else k)
-        rough = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        # a few spare candidates cover rounding of the expanded form
-        spare = min(len(b), take + 8)
-        near = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
+        most = min(len(b), take)
+        # a few spare candidates cover rounding of the expanded form; ties reach past them
+        spare = min(len(b), most + 8)
         out = []
-        for row, cand in enumerate(near):
-            d = np.sqrt(((b[cand] - a[row]) ** 2).sum(1))
-            for i in np.lexsort((ids[cand], np.round(d, 9)))[:take]:
-                out.append((qids[row], ids[cand[i]], d[i]))
-        return pd.DataFrame(out, columns=["query_id", "id", "distance"])
-
-    pairs = t.groupBy("qb", "tb").cogroup(q.groupBy("qb", "tb")).applyInPandas(
-        closest, f"query_id {id_type}, id {id_type}, distance double"
+        for i in range(0, len(a), 512):
+            part = a[i : i + 512]
+            rough = (part * part).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (part @ b.T)
+            kth = np.partition(rough, spare - 1, axis=1)[:, spare - 1]
+            slack = 1e-9 * (1.0 + (part * part).sum(1) + (b * b).sum(1).max())
+            for row in range(len(part)):
+                cand = np.flatnonzero(rough[row] <= kth[row] + slack[row])
+                d = np.sqrt(((b[cand] - part[row]) ** 2).sum(1))
+                best = np.lexsort((ids[cand], np.round(d, DIGITS)))[:most]
+                out.append(pd.DataFrame({"query_id": qids[i + row], "id": ids[cand[best]], "distance": d[best]}))
+        return pd.concat(out)
+
+    return run
+
+
+def _compare(placed: DataFrame, visits: DataFrame, cells: Cells, take: int, block_rows: int) -> DataFrame:
+    """The ``take`` closest rows of each visited block for each visit.
+
+    A ring of many rows is dealt into blocks; the visits of a ring are dealt into parts.  A
+    block is copied once per part of the visits of its own ring only.
+    """
+    spark, kind = placed.sparkSession, visits.schema["id"].dataType.simpleString()
+    train_kind = placed.schema["id"].dataType.simpleString()
+    visits = _written(visits, "visits")
+    asked_of = {r["at"]: -(-r["n"] // block_rows) for r in visits.groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # one row per ring, at most MAX_PIVOTS * MAX_RINGS
+    counted = F.broadcast(spark.createDataFrame(
+        [(int(cells.ring_pivot[i]), int(cells.ring[i]), i, int(-(-cells.rows[i] // block_rows)), parts) for i, parts in asked_of.items()],
+        "cell bigint, ring bigint, at bigint, blocks bigint, parts bigint",
+    ))
+    deal = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n))
+    blocks = placed.select("id", "v", "cell", "ring").join(counted, ["cell", "ring"]).select(
+        "id", "v", "at", deal("blocks", "block").alias("b"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("p")
+    )
+    asked = visits.join(counted, "at").select(
+        "id", "v", "at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("b"), deal("parts", "part").alias("p")
     )
+    return blocks.groupBy("at", "b", "p").cogroup(asked.groupBy("at", "b", "p")).applyInPandas(
+        _closest(take), f"query_id {kind}, id {train_kind}, distance double"
+    )
+
+
+def _kept(pairs: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.round("distance", DIGITS), "id")
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def neighbours(train: DataFrame, queries: DataFrame, key: str, features, k: int = 5, exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(query_id, id, distance, rank): the k closest train rows of each query."""
+    t, q = _vectors(train, key, features), _vectors(queries, key, features)
+    n = t.count()
+    take = k + 1 if exclude_self else k
+    if not n:
+        kind = queries.schema[key].dataType.simpleString()
+        return train.sparkSession.createDataFrame([], f"query_id {kind}, id {t.schema['id'].dataType.simpleString()}, distance double, rank int")
+    cells = fit_cells(t, n, block_rows)
+    placed = _placed(t, cells)
+    first = _written(_kept(_compare(placed, _visits(q, cells, take, False), cells, take, block_rows), take), "knn")
+    # the whole table holds fewer rows than asked for: nothing can be ruled out by a distance
+    radius = F.when(F.count(F.lit(1)) >= take, F.max("distance")).otherwise(F.lit(float("inf")))
+    reach = first.groupBy("query_id").agg(radius.alias("radius")).withColumnRenamed("query_id", "id")
+    then = _visits(q.join(reach, "id"), cells, take, True)
+    pairs = first.drop("rank").unionByName(_compare(placed, then, cells, take, block_rows))
     if exclude_self:
         pairs = pairs.where("query_id <> id")
-    w = Window.partitionBy("query_id").orderBy(F.round("distance", 9), "id")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return _kept(pairs, k)
 
 
 def knn_predict(train: DataFrame, queries: DataFrame, key: str, features, label: str, k: int = 5, weights: str = "uniform", regression: bool = False, exclude_self: bool = False) -> DataFrame:

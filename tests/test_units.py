@@ -475,3 +475,46 @@ def test_family_rule_fills_dates(spark):
         ("a", 1): (5.0, "2020-01-02"), ("a", 2): (3.0, "2020-01-02"), ("a", 3): (5.0, "2020-01-02"),
         ("b", 1): (5.0, "2021-05-05"), ("b", 2): (9.0, "2021-05-05"),
     }
+
+
+def _near_by_force(t, q, k, exclude_self=False):
+    out = []
+    for qid, v in q:
+        found = sorted((round(float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), 9), i) for i, w in t if not (exclude_self and i == qid))
+        out += [(qid, rank, i) for rank, (_, i) in enumerate(found[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("k, block_rows, exclude_self", [(3, 20, True), (4, 50, False), (50, 30, True), (900, 100, False)])
+def test_knn_by_cells_is_exact(spark, k, block_rows, exclude_self):
+    """Clusters, a third of all rows at one point, ties on a grid, and k beyond the table."""
+    rng = np.random.default_rng(3)
+    points = [*rng.normal(0, 1, (120, 3)).tolist(), *rng.normal(40, 1, (120, 3)).tolist(), *[[5.0, 5.0, 5.0]] * 180]
+    points += [[float(x), float(y), 0.0] for x in range(10) for y in range(10)]
+    t = list(enumerate(points))
+    train = spark.createDataFrame(t, "id long, v array<double>")
+    q = t[::9]
+    got = knn.neighbours(train, spark.createDataFrame(q, "id long, v array<double>"), "id", "v", k, exclude_self, block_rows)
+    assert sorted((r["query_id"], r["rank"], r["id"]) for r in got.collect()) == _near_by_force(t, q, k, exclude_self)
+
+
+def test_knn_visits_few_blocks(spark):
+    """A query meets the cells that can hold a neighbour: fewer rows than rows times blocks."""
+    rng = np.random.default_rng(5)
+    centres = rng.uniform(-1000, 1000, (30, 4))
+    rows = [(i, (centres[i % 30] + rng.normal(0, 1, 4)).tolist()) for i in range(3000)]
+    v = spark.createDataFrame(rows, "id long, v array<double>")
+    cells = knn.fit_cells(v, 3000, 100)
+    assert cells.rows.sum() == 3000 and len(cells.rows) >= 30
+    placed = knn._placed(v, cells)
+    first = knn._visits(v, cells, 6, False)
+    reach = knn._kept(knn._compare(placed, first, cells, 6, 100), 6).groupBy("query_id").agg(F.max("distance").alias("radius"))
+    then = knn._visits(v.join(reach.withColumnRenamed("query_id", "id"), "id"), cells, 6, True)
+    assert first.count() + then.count() < 3000 * len(cells.rows) / 5
+
+
+def test_knn_of_nothing(spark):
+    none = spark.createDataFrame([], "id long, v array<double>")
+    some = spark.createDataFrame([(1, [0.0, 1.0])], "id long, v array<double>")
+    assert knn.neighbours(none, some, "id", "v", 2).count() == 0
+    assert knn.neighbours(some, none, "id", "v", 2).count() == 0
