@@ -1,53 +1,190 @@
-"""Categorical encoders.  Dictionaries are inlined while small, broadcast up to
-a counted bound, and kept as a table joined by a salted shuffle beyond it."""
+"""Categorical encoders.
+
+All columns are counted together: one pass gives a table (column, value, count, target sum)
+from which every encoder takes what it learns, so the jobs of a fit do not grow with the
+columns.  Dictionaries are inlined while small, broadcast up to a bound of entries and bytes,
+and kept as a table, a folder per column, beyond it.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import text
 from millrace.functions.numeric import col, dbl
 from millrace.operators import schema as S
-from millrace.operators.skew import BROADCAST_ROWS, hot_hashes, lookup, with_row_number
+from millrace.operators.skew import BROADCAST_ROWS, MIN_SUPPORT, lookup, with_row_number
 from millrace.operators.typing import _counts, text_facts
 from millrace.plans.fitted import Step, applies
-from millrace.session import scratch_dir
+from millrace.session import parallelism, scratch_dir
 
 INLINE = 200
 MAX_ONEHOT = 1_000
+#: A dictionary is broadcast up to BROADCAST_ROWS entries of so many bytes.
+ENTRY_BYTES = 64
 BINARY_MAX, ONEHOT_MAX, LABEL_MAX = 2, 10, 50
 ENCODERS = ["bool", "binary", "onehot", "label", "frequency", "ordinal", "multihot", "target", "skip"]
 
 
-def _categories(df: DataFrame, c: str, cap: int = MAX_ONEHOT) -> list[str]:
-    """Sorted distinct values as text; an error above the cap, never a cut."""
-    rows = df.select(col(c).cast("string").alias("v")).where("v is not null").distinct().limit(cap + 1).collect()
-    if len(rows) > cap:
-        raise ValueError(f"column {c!r} has more than {cap} categories; use label or frequency encoding")
-    return sorted(r[0] for r in rows)
+# ---- value table: one pass over all columns ---------------------------------------
+
+@dataclass(frozen=True)
+class Ask:
+    """One column to encode and what its encoder needs."""
+
+    column: str
+    how: str
+    cap: int = MAX_ONEHOT
+    sep: str = ","
+    null_code: int | None = -1
+    null_column: bool = False
+    drop_first: bool = False
+
+
+def _cell_of(n: int):
+    return lambda v: F.struct(F.lit(n).alias("n"), v.alias("v"))
+
+
+class ValueTable:
+    """Counts and target sums per (column, value) of all asked columns, from one pass.
+
+    Columns go by their number.  A null value counts the rows without one; number -1 holds
+    all rows.  What is read to the driver is one row per column and the values of columns
+    that fit their bound.
+    """
+
+    def __init__(self, df: DataFrame, asks: list[Ask], target: str | None = None):
+        self.spark, self.asks = df.sparkSession, asks
+        y = F.lit(None).cast("double") if target is None else dbl(target)
+        cells = [F.array(F.struct(F.lit(-1).alias("n"), F.lit(None).cast("string").alias("v")))]
+        for n, ask in enumerate(asks):
+            if ask.how == "multihot":
+                found = F.coalesce(text.tags(col(ask.column), ask.sep), F.array().cast("array<string>"))
+                cells.append(F.transform(found, _cell_of(n)))
+            else:
+                cells.append(F.array(_cell_of(n)(col(ask.column).cast("string"))))
+        long = df.select(F.explode(F.concat(*cells)).alias("c"), y.alias("y"))
+        counts = long.groupBy(F.col("c.n").alias("n"), F.col("c.v").alias("value")).agg(
+            F.count(F.lit(1)).alias("count"), F.sum("y").alias("y_sum"), F.count("y").alias("y_count")
+        )
+        path = scratch_dir(self.spark, "values")
+        counts.write.parquet(path)
+        self.table = self.spark.read.schema(counts.schema).parquet(path)
+        known = F.col("value").isNotNull()
+        found = self.table.groupBy("n").agg(
+            F.count("value").alias("distinct"), F.sum(F.when(known, F.col("count"))).alias("total"), F.sum("count").alias("rows"),
+            F.sum(F.octet_length("value")).alias("bytes"), F.sum("y_sum").alias("y_sum"), F.sum("y_count").alias("y_count"),
+        ).collect()
+        self.facts = {r["n"]: r for r in found}
+        every = self.facts.get(-1)
+        self.rows = every["rows"] if every else 0
+        self.mean = every["y_sum"] / every["y_count"] if every and every["y_count"] else None
+        small = [n for n in range(len(asks)) if self.distinct(n) <= self._bound(n)]
+        self.small: dict[int, list] = {n: [] for n in small}
+        if small:
+            for r in self.table.where(known & F.col("n").isin(small)).collect():
+                self.small[r["n"]].append(r)
+        for rows in self.small.values():
+            rows.sort(key=lambda r: r["value"])
+        self._coded: dict[str, str] = {}
+
+    def distinct(self, n: int) -> int:
+        return self.facts[n]["distinct"] if n in self.facts else 0
+
+    def _bound(self, n: int) -> int:
+        return INLINE if self.asks[n].how in ("label", "frequency", "target") else self.asks[n].cap
+
+    def values(self, n: int) -> list[str]:
+        """Sorted distinct values; an error above the cap, never a cut."""
+        if n not in self.small:
+            what = "tags" if self.asks[n].how == "multihot" else "categories"
+            raise ValueError(f"column {self.asks[n].column!r} has more than {self.asks[n].cap} {what}; use label or frequency encoding")
+        return [r["value"] for r in self.small[n]]
+
+    def _large(self, *hows: str) -> list[int]:
+        return [n for n, a in enumerate(self.asks) if a.how in hows and n not in self.small]
+
+    def path(self, how: str) -> str:
+        """The written codes of all large columns of a kind, one folder per column number."""
+        kind = "label" if how == "label" else "number"
+        if kind not in self._coded:
+            wanted = self._large("label") if kind == "label" else self._large("frequency", "target")
+            rows = self.table.where(F.col("value").isNotNull() & F.col("n").isin(wanted))
+            if kind == "label":
+                # one numbering of all columns in ranges of (column, value), less the columns before
+                before, offsets = 0, []
+                for n in wanted:
+                    offsets += [F.lit(n), F.lit(before)]
+                    before += self.distinct(n)
+                keyed = rows.select("n", "value", F.concat(F.lpad(F.col("n").cast("string"), 10, "0"), F.lit(":"), "value").alias("__key"))
+                code = F.col("code") - 1 - F.element_at(F.create_map(*offsets), F.col("n"))
+                coded = with_row_number(keyed, ["__key"], name="code").select("n", "value", code.cast("int").alias("code"))
+            else:
+                totals = F.create_map(*[F.lit(x) for n in wanted for x in (n, float(max(self.facts[n]["total"] or 0, 1)))])
+                targets = [n for n in wanted if self.asks[n].how == "target"]
+                mean = F.try_divide("y_sum", F.col("y_count").cast("double"))
+                share = F.col("count") / F.element_at(totals, F.col("n"))
+                coded = rows.select("n", "value", F.when(F.col("n").isin(targets), mean).otherwise(share).alias("code"))
+            self._coded[kind] = scratch_dir(self.spark, "dictionary")
+            coded.write.partitionBy("n").parquet(self._coded[kind])
+        return self._coded[kind]
+
+    @cached_property
+    def hot(self) -> dict[int, list[int]]:
+        """Hashes of the values of large columns that hold a large share of the rows."""
+        large = self._large("label", "frequency", "target")
+        support = max(MIN_SUPPORT, 1.0 / (2 * parallelism(self.spark)))
+        out: dict[int, list[int]] = {n: [] for n in large}
+        many = [n for n in large if self.weight(n) > BROADCAST_ROWS]
+        if many:
+            key = F.xxhash64("value")
+            for r in self.table.where(F.col("value").isNotNull() & F.col("n").isin(many) & (F.col("count") > support * self.rows)).select("n", key.alias("h")).collect():
+                out[r["n"]].append(r["h"])
+        return {n: sorted(h) for n, h in out.items()}
+
+    def weight(self, n: int) -> int:
+        """Entries of a dictionary, or its bytes in entries of ENTRY_BYTES where that is more."""
+        return max(self.distinct(n), -(-(self.facts[n]["bytes"] or 0) // ENTRY_BYTES))
+
+    def dictionary(self, n: int, default, code) -> Step:
+        """A dictionary step: inlined where small (``code`` of position and row), else a table."""
+        c = self.asks[n].column
+        if n in self.small:
+            return Step("dictionary", {"column": c, "map": {r["value"]: code(i, r) for i, r in enumerate(self.small[n])}, "default": default})
+        path = f"{self.path(self.asks[n].how)}/n={n}"
+        return Step("dictionary", {"column": c, "table": path, "rows": self.weight(n), "default": default, "hot": self.hot[n]})
+
+    def step(self, n: int) -> Step:
+        ask = self.asks[n]
+        c, how = ask.column, ask.how
+        if how == "label":
+            return self.dictionary(n, ask.null_code, lambda i, r: i)
+        if how == "frequency":
+            return self.dictionary(n, 0.0, lambda i, r: r["count"] / max(self.facts[n]["total"], 1))
+        if how == "target":
+            return self.dictionary(n, self.mean, lambda i, r: r["y_sum"] / r["y_count"] if r["y_count"] else None)
+        if how == "binary":
+            return Step("dictionary", {"column": c, "map": {v: i for i, v in enumerate(self.values(n))}, "default": None})
+        if how == "ordinal":
+            return ordinal_step(c, self.values(n))
+        values = self.values(n)
+        if how == "multihot":
+            return Step("multihot", {"column": c, "sep": ask.sep, "values": values})
+        return Step("onehot", {"column": c, "values": values[1:] if ask.drop_first else values, "null_column": ask.null_column})
+
+
+def _fit(df: DataFrame, ask: Ask, target: str | None = None) -> Step:
+    return ValueTable(df, [ask], target).step(0)
 
 
 # ---- dictionary encoders ------------------------------------------------------
 
-def _dictionary_step(df: DataFrame, c: str, pairs: DataFrame, default) -> Step:
-    """``pairs`` has (value, code), unique by value."""
-    spark = df.sparkSession
-    head = pairs.limit(INLINE + 1).collect()
-    if len(head) <= INLINE:
-        return Step("dictionary", {"column": c, "map": {r["value"]: r["code"] for r in head}, "default": default})
-    path = scratch_dir(spark, "dictionary")
-    pairs.write.parquet(path)
-    rows = spark.read.parquet(path).count()
-    # beyond a broadcast, the step carries the hot keys of the data it was fitted on
-    keyed = df.select(col(c).cast("string").alias("__key"))
-    hot = hot_hashes(keyed, ["__key"]) if rows > BROADCAST_ROWS else []
-    return Step("dictionary", {"column": c, "table": path, "rows": rows, "default": default, "hot": hot})
-
-
 @applies("dictionary")
 def _apply_dictionary(df, p):
     c = p["column"]
@@ -72,41 +209,22 @@ def dictionary_lookup(df: DataFrame, column: str, mapping: dict, default=None) -
 
 def fit_label(df: DataFrame, c: str, null_code: int | None = -1) -> Step:
     """0-based code of the sorted text value."""
-    values = df.select(col(c).cast("string").alias("value")).where("value is not null").distinct()
-    small = values.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    if small:
-        order = Window.orderBy("value")  # at most BROADCAST_ROWS values, counted above
-        coded = values.withColumn("code", F.row_number().over(order) - 1)
-    else:
-        coded = with_row_number(values, ["value"], name="code").withColumn("code", F.col("code") - 1)
-    return _dictionary_step(df, c, coded.select("value", F.col("code").cast("int")), null_code)
+    return _fit(df, Ask(c, "label", null_code=null_code))
 
 
 def fit_frequency(df: DataFrame, c: str) -> Step:
     """Share of all non-null rows that hold the value."""
-    counts = (
-        df.select(col(c).cast("string").alias("value")).where("value is not null")
-        .groupBy("value").count()
-    )
-    total = df.agg(F.count(col(c))).head()[0]
-    pairs = counts.select("value", (F.col("count") / F.lit(max(total, 1))).alias("code"))
-    return _dictionary_step(df, c, pairs, 0.0)
+    return _fit(df, Ask(c, "frequency"))
 
 
 def fit_target(df: DataFrame, c: str, target: str) -> Step:
     """Mean of the target per category; unseen categories get the overall mean."""
-    overall = df.agg(F.avg(dbl(target))).head()[0]
-    pairs = (
-        df.select(col(c).cast("string").alias("value"), dbl(target).alias("y")).where("value is not null")
-        .groupBy("value").agg(F.avg("y").alias("code"))
-    )
-    return _dictionary_step(df, c, pairs, overall)
+    return _fit(df, Ask(c, "target"), target)
 
 
 def fit_binary(df: DataFrame, c: str) -> Step:
     """Two sorted categories to 0 / 1, null stays null."""
-    cats = _categories(df, c, cap=2)
-    return Step("dictionary", {"column": c, "map": {v: i for i, v in enumerate(cats)}, "default": None})
+    return _fit(df, Ask(c, "binary", cap=2))
 
 
 def ordinal_step(c: str, order: list[str]) -> Step:
@@ -116,11 +234,7 @@ def ordinal_step(c: str, order: list[str]) -> Step:
 # ---- indicator encoders -------------------------------------------------------
 
 def fit_onehot(df: DataFrame, c: str, null_column: bool = False, drop_first: bool = False, cap: int = MAX_ONEHOT) -> Step:
-    cats = _categories(df, c, cap)
-    return Step(
-        "onehot",
-        {"column": c, "values": cats[1:] if drop_first else cats, "null_column": null_column},
-    )
+    return _fit(df, Ask(c, "onehot", cap, null_column=null_column, drop_first=drop_first))
 
 
 @applies("onehot")
@@ -136,10 +250,7 @@ def _apply_onehot(df, p):
 
 
 def fit_multihot(df: DataFrame, c: str, sep: str = ",", cap: int = MAX_ONEHOT) -> Step:
-    found = df.select(F.explode(text.tags(col(c), sep)).alias("t")).distinct().limit(cap + 1).collect()
-    if len(found) > cap:
-        raise ValueError(f"column {c!r} has more than {cap} tags")
-    return Step("multihot", {"column": c, "sep": sep, "values": sorted(r[0] for r in found)})
+    return _fit(df, Ask(c, "multihot", cap, sep))
 
 
 @applies("multihot")
@@ -181,7 +292,15 @@ def auto_encoders(df: DataFrame, skip=()) -> dict[str, str]:
 
 
 def fit_encode(df: DataFrame, choice: dict[str, str], target: str | None = None, orders: dict[str, list[str]] | None = None) -> list[Step]:
-    """One step per column; ``skip`` drops the column."""
+    """One step per column; ``skip`` drops the column.  All columns are counted in one pass."""
+    unknown = [how for c, how in choice.items() if c in df.columns and how not in ENCODERS]
+    if unknown:
+        raise ValueError(f"unknown encoder {unknown[0]!r}; known: {ENCODERS}")
+    orders = orders or {}
+    counted = [c for c, how in choice.items() if c in df.columns and how not in ("bool", "skip") and not (how == "ordinal" and orders.get(c))]
+    asks = [Ask(c, choice[c], cap=2 if choice[c] == "binary" else MAX_ONEHOT) for c in counted]
+    needs_target = any(a.how == "target" for a in asks)
+    table = ValueTable(df, asks, target if needs_target else None) if asks else None
     steps = []
     for c, how in choice.items():
         if c not in df.columns:
@@ -190,18 +309,10 @@ def fit_encode(df: DataFrame, choice: dict[str, str], target: str | None = None,
             steps.append(Step("bool_int", {"columns": [c]}))
         elif how == "skip":
             steps.append(Step("drop", {"columns": [c], "reason": "skip"}))
-        elif how == "ordinal":
-            steps.append(ordinal_step(c, (orders or {}).get(c) or _categories(df, c)))
-        elif how == "target":
-            steps.append(fit_target(df, c, target))
+        elif c in counted:
+            steps.append(table.step(counted.index(c)))
         else:
-            fit = {
-                "binary": fit_binary, "onehot": fit_onehot, "label": fit_label,
-                "frequency": fit_frequency, "multihot": fit_multihot,
-            }.get(how)
-            if fit is None:
-                raise ValueError(f"unknown encoder {how!r}; known: {ENCODERS}")
-            steps.append(fit(df, c))
+            steps.append(ordinal_step(c, orders[c]))
     return steps
 
 
@@ -217,4 +328,4 @@ def fit_residual_sweep(df: DataFrame, skip=()) -> list[Step]:
         f.name for f in df.schema.fields
         if not isinstance(f.dataType, T.NumericType) and f.name not in skip
     ]
-    return [fit_label(df, c) for c in left]
+    return fit_encode(df, dict.fromkeys(left, "label"))

@@ -518,3 +518,44 @@ def test_knn_of_nothing(spark):
     some = spark.createDataFrame([(1, [0.0, 1.0])], "id long, v array<double>")
     assert knn.neighbours(none, some, "id", "v", 2).count() == 0
     assert knn.neighbours(some, none, "id", "v", 2).count() == 0
+
+
+def _jobs(spark, work):
+    """Spark jobs that ``work`` starts."""
+    group = f"count-{id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_encoders_count_all_columns_in_one_pass(spark, monkeypatch):
+    """As many jobs for 60 columns as for 3, with tables and inlined values, and equal codes."""
+    monkeypatch.setattr(encode, "INLINE", 5)
+    hows = ["label", "frequency", "target"]
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({f"c{i}": rng.choice([f"v{j}" for j in range(8)] + [None], 400) for i in range(60)} | {"y": rng.normal(0, 1, 400)})
+    df = spark.createDataFrame(pdf).cache()
+    choice = {f"c{i}": hows[i % 3] for i in range(60)}
+    few = {c: choice[c] for c in ("c0", "c1", "c2")}
+    # one more where a stage is planned anew for its size
+    assert _jobs(spark, lambda: encode.fit_encode(df, choice, "y")) <= _jobs(spark, lambda: encode.fit_encode(df, few, "y")) + 1
+    steps = encode.fit_encode(df, choice, "y")
+    assert all("table" in s.params for s in steps)
+    out = steps[3].transform(steps[1].transform(steps[2].transform(df))).toPandas()
+    values = sorted(v for v in pdf["c3"].unique() if v is not None)
+    assert sorted(out["c3"]) == sorted(values.index(v) if v is not None else -1 for v in pdf["c3"])
+    shares = pdf["c1"].value_counts(normalize=True)
+    assert sorted(out["c1"].round(9)) == sorted(round(shares.get(v, 0.0), 9) for v in pdf["c1"])
+    means = pdf.groupby("c2")["y"].mean()
+    assert sorted(out["c2"].round(6)) == sorted(round(means.get(v, pdf["y"].mean()), 6) for v in pdf["c2"])
+
+
+def test_wide_values_are_not_broadcast(spark, monkeypatch):
+    """The broadcast bound counts bytes: few long values weigh as many short ones."""
+    monkeypatch.setattr(encode, "INLINE", 2)
+    df = spark.createDataFrame([("x" * 6400 + str(i % 3),) for i in range(30)], "t string")
+    step = encode.fit_label(df, "t")
+    assert step.params["rows"] >= 300
