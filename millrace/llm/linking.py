@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
         )).alias("e")).select("e.u", "e.v").where("u != v").distinct()
-        edges = stored(small, "edges")
+        spent, edges = edges, stored(small, "edges")
+        discard(spent)
     leaves = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return leaves.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 

@@ -76,8 +76,9 @@ def _longs(bits: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFrame:
-    """(key, n_shingles, set1, set2, sig, sketch, parity): two digests of the set, 16 bits of each
-    minwise token, one more bit of each as longs, and the parities of PARITIES buckets of shingles."""
+    """(key, n_shingles, set1, set2, sig, root, sketch, parity): two digests of the set, 16 bits of
+    each minwise token, all 64 of those that trees start from, one more bit of each as longs, and
+    the parities of PARITIES buckets of shingles."""
     k = rules.coordinates
     factors = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[0]) | np.uint64(1)
     shifts = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[1])
@@ -100,16 +101,18 @@ def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFr
                     sig[row] = least if a == 0 else np.minimum(sig[row], least)
             mixed = mix64(sig)
             tokens = (mixed >> np.uint64(48)).astype("<u2")
+            first = mixed[:, np.arange(rules.trees) % k]
+            root = pa.FixedSizeListArray.from_arrays(pa.array(first.view(np.int64).ravel()), rules.trees).cast(pa.list_(pa.int64()))
             lists = [_longs((mixed & np.uint64(1)).astype(np.uint8)), _longs(odd)]
             raw = pa.array([t.tobytes() for t in tokens], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), raw, *lists],
-                [key, "n_shingles", "set1", "set2", "sig", "sketch", "parity"],
+                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), raw, root, *lists],
+                [key, "n_shingles", "set1", "set2", "sig", "root", "sketch", "parity"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig binary, sketch array<bigint>, parity array<bigint>"
+        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig binary, root array<bigint>, sketch array<bigint>, parity array<bigint>"
     )
 
 
@@ -118,9 +121,11 @@ def _token(c: Column) -> Column:
 
 
 def roots(reps: DataFrame, rules: JoinRules) -> DataFrame:
-    """(key, id) of the first level: tree t branches by its own coordinate."""
-    nodes = F.array(*[F.xxhash64(F.lit(t), _token(F.lit(t % rules.coordinates))) for t in range(rules.trees)])
-    return reps.select(F.explode(nodes).alias("key"), "id")
+    """(key, id) of the first level: tree t branches by its own coordinate.
+
+    Whole tokens: with 16 bits of them, strangers would share nearly every root of a large table.
+    """
+    return reps.select(F.explode(F.transform("root", lambda token, t: F.xxhash64(t, token))).alias("key"), "id")
 
 
 def branches(rows: DataFrame, rules: JoinRules) -> DataFrame:
@@ -163,9 +168,8 @@ def may_link(rules: JoinRules):
     return alike
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold."""
-    pairs = stored(pairs, "pairs")
+def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, rules: JoinRules) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) whose full sets reach the threshold, and the table of texts that they are tested on."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(ids.select(F.xxhash64("id").alias("h")), "h"))  # fixed size
 
@@ -193,7 +197,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, rules: JoinR
     joined = pairs.join(texts.select(F.col("id").alias("b"), F.col("body").alias("two")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("body").alias("one")), "a"
     )
-    return joined.select("a", "b", "one", "two").mapInArrow(test, f"a {kind}, b {kind}")
+    return joined.select("a", "b", "one", "two").mapInArrow(test, f"a {kind}, b {kind}"), texts
 
 
 def _cached(column: pa.Array, ids: list, rules: JoinRules) -> Iterator[tuple[int, np.ndarray]]:
@@ -217,7 +221,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     signed = stored(signatures(docs, key, text, rules), "signatures")
     usable = signed.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
     reps = stored(usable.groupBy("n_shingles", "set1", "set2").agg(
-        F.min(key).alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")
+        F.min(key).alias("id"), F.first("sig").alias("sig"), F.first("root").alias("root"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")
     ), "classes")
     slim = stored(signed.select(key, "n_shingles", "set1", "set2"), "sets")
     discard(signed)
@@ -235,9 +239,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         crowd = nodes.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key")
         return nodes.join(crowd, "key", "left_semi").join(facts, "id").select("key", "id", F.lit(True).alias("indexed"), "n_shingles", "sketch")
 
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        found = stored(pairs, "pairs")
+        tested, spent = confirm(found, docs, key, text, rules)
+        out = stored(tested, "links")
+        discard(found, spent)
+        return out
+
     members = stored(crowded(roots(reps, rules)), "nodes")
-    links = stored(confirm(possible(star_pairs(members, alike)), docs, key, text, rules), "links")
-    labels = components(links)
+    links = confirmed(possible(star_pairs(members, alike)))
+    labels = stored(components(links), "labels")
 
     # nodes with several components: the nearly pure are compared now, the others branch on
     ready, level = None, members
@@ -250,10 +261,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         ready = pairs if ready is None else ready.unionByName(pairs)
         large = rows.where(F.col("minors") > rules.leaf)
         if last or large.isEmpty():
+            discard(rows)
             break
         level = stored(crowded(branches(large.select("key", "id").join(reps.select("id", "sig"), "id"), rules)), "nodes")
         discard(rows)
-    second = stored(confirm(ready.distinct(), docs, key, text, rules), "links")
+    second = confirmed(ready.distinct())
     joined = components(links.unionByName(second)).withColumnRenamed("id", "rep")
     of_class = reps.select("n_shingles", "set1", "set2", F.col("id").alias("rep")).join(joined, "rep", "left")
     named = slim.join(of_class, ["n_shingles", "set1", "set2"], "left")
