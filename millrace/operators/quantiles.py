@@ -1,22 +1,26 @@
 """Exact interpolated quantiles for any table size, and value frequencies.
 
 Small tables use Spark's exact ``percentile``.  That aggregate keeps every
-distinct value of a column in one task, so larger tables narrow a bracket
+distinct value of a column in one task, so larger tables put a narrow interval
 around each wanted order statistic with ``percentile_approx`` (bounded memory,
-map-side merge) until the bracket is small enough to read exactly.
+map-side merge).  A second pass over all columns counts the values inside the
+intervals one by one and the others per gap; running counts give the ranks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import col, dbl
+from millrace.session import scratch_dir
 
 EXACT_CELLS = 400_000
-BRACKET_ROWS = 20_000
 ACCURACY = 10_000
 
 
@@ -26,166 +30,112 @@ def _by_percentile(df, cols, probs):
     return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(cols)}
 
 
-class _Bracket:
-    """Rows with lo <= x <= hi hold order statistics k..m; ``below`` are under lo."""
-
-    def __init__(self, name, p, n):
-        self.name, self.p, self.position = name, p, (n - 1) * p
-        self.k, self.m = math.floor(self.position), math.ceil(self.position)
-        self.lo, self.hi = -math.inf, math.inf
-        self.below, self.inside = 0, n
-        self.settled = False  # only two distinct values are left
-
-    def covers(self, x):
-        if self.lo == -math.inf and self.hi == math.inf:
-            return x.isNotNull()
-        return (x >= F.lit(self.lo)) & (x <= F.lit(self.hi))
-
-
-SLACK = 2.0 / ACCURACY
-
-
-def _first_proposals(df, cols, probs):
-    """Brackets and their first bounds: one sketch per column, one pass."""
-    ends = [e for p in probs for e in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
+def _spans(df, cols, probs, accuracy):
+    """Rows per column, and per column disjoint closed intervals that should hold every wanted
+    order statistic: one sketch per column, one pass."""
+    slack = 2.0 / accuracy
+    ends = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
     row = df.agg(
         *[F.count(dbl(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[F.percentile_approx(dbl(c), ends, ACCURACY).alias(f"q{i}") for i, c in enumerate(cols)],
+        *[F.percentile_approx(dbl(c), ends, accuracy).alias(f"q{i}") for i, c in enumerate(cols)],
     ).head()
-    out = []
-    for i, c in enumerate(cols):
-        n, q = row[i], row[len(cols) + i]
-        for j, p in enumerate(probs if n else ()):
-            b = _Bracket(c, p, n)
-            # tables of a few rows per slack: widen by one position on each side
-            wide = n * SLACK < 2
-            out.append((b, -math.inf if wide else q[2 * j], math.inf if wide else q[2 * j + 1]))
-    return out
+    sizes = list(row[: len(cols)])
+    spans = []
+    for n, q in zip(sizes, row[len(cols) :]):
+        if not n:
+            spans.append([])
+        elif n * slack < 4:  # a sketch of so few rows bounds nothing
+            spans.append([(-math.inf, math.inf)])
+        else:
+            spans.append(_merged(list(zip(q[::2], q[1::2]))))
+    return sizes, spans
 
 
-def _proposals(df, brackets):
-    """Tighter bounds from sketches over the rows each bracket still holds."""
-    same_rows: dict[tuple, list[_Bracket]] = {}
-    for b in brackets:
-        same_rows.setdefault((b.name, b.lo, b.hi), []).append(b)
-    sketches = []
-    for group in same_rows.values():
-        probs = []
-        for b in group:
-            probs.append(max(0.0, (b.k - b.below) / b.inside - SLACK))
-            probs.append(min(1.0, (b.m - b.below + 1) / b.inside + SLACK))
-        x = dbl(group[0].name)
-        sketches.append(F.percentile_approx(F.when(group[0].covers(x), x), probs, ACCURACY))
-    row = df.agg(*[s.alias(f"p{i}") for i, s in enumerate(sketches)]).head()
-    return [
-        (b, row[i][2 * j], row[i][2 * j + 1])
-        for i, group in enumerate(same_rows.values())
-        for j, b in enumerate(group)
-    ]
-
-
-def _confirm(df, proposed):
-    """Count against the proposed bounds; keep the sides the counts confirm."""
-    counts = []
-    for i, (b, lo, hi) in enumerate(proposed):
-        x = dbl(b.name)
-        counts += [
-            F.count_if(x < F.lit(lo)).alias(f"b{i}"),
-            F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"i{i}"),
-        ]
-    seen = df.agg(*counts).head()
-    for i, (b, lo, hi) in enumerate(proposed):
-        below, inside = seen[2 * i], seen[2 * i + 1]
-        end = b.below + b.inside
-        if b.k >= below:
-            b.lo, b.below = lo, below
-        if b.m < below + inside:
-            b.hi, end = hi, below + inside
-        b.inside = end - b.below
-
-
-def _drop_ends(df, brackets):
-    """Step past end values so frequent that the sketch cannot leave them."""
-    facts = []
-    for i, b in enumerate(brackets):
-        x, lo, hi = dbl(b.name), F.lit(b.lo), F.lit(b.hi)
-        facts += [
-            F.count_if(x == lo).alias(f"l{i}"),
-            F.count_if(x == hi).alias(f"h{i}"),
-            F.min(F.when(x > lo, x)).alias(f"n{i}"),
-            F.max(F.when(x < hi, x)).alias(f"p{i}"),
-        ]
-    row = df.agg(*facts).head()
-    for i, b in enumerate(brackets):
-        n_lo, n_hi, after_lo, before_hi = row[4 * i : 4 * i + 4]
-        first, last = b.below + n_lo, b.below + b.inside - n_hi
-        if b.m < first:
-            b.hi = b.lo
-        elif b.k >= last:
-            b.lo, b.below = b.hi, last
-        elif b.k < first:
-            b.hi, b.settled = after_lo, True
-        elif b.m >= last:
-            b.lo, b.below, b.settled = before_hi, b.k, True
+def _merged(spans):
+    out = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
         else:
-            b.lo, b.hi, b.below, b.inside = after_lo, before_hi, first, last - first
-
-
-def _by_brackets(df, cols, probs, bracket_rows):
-    proposed = _first_proposals(df, cols, probs)
-    brackets = {(b.name, b.p): b for b, _, _ in proposed}
-    if proposed:
-        _confirm(df, proposed)
-    while True:
-        open_ = [
-            b for b in brackets.values() if b.lo != b.hi and b.inside > bracket_rows and not b.settled
-        ]
-        if not open_:
-            break
-        before = {b: (b.lo, b.hi) for b in open_}
-        _confirm(df, _proposals(df, open_))
-        stuck = [b for b in open_ if before[b] == (b.lo, b.hi)]
-        if stuck:
-            _drop_ends(df, stuck)
-
-    # grouped values of at most bracket_rows rows per bracket, all columns at once
-    found: dict[str, list] = {}
-    todo = [b for b in brackets.values() if b.lo != b.hi]
-    if todo:
-        cells = []
-        for c in sorted({b.name for b in todo}):
-            x = dbl(c)
-            near = F.lit(False)
-            for b in todo:
-                if b.name == c:
-                    near = near | b.covers(x)
-            cells.append(F.struct(F.lit(c).alias("c"), F.when(near, x).alias("v")))
-        rows = df.select(F.inline(F.array(*cells))).where("v is not null").groupBy("c", "v").count()
-        for r in sorted(rows.collect()):
-            found.setdefault(r["c"], []).append((r["v"], r["count"]))
-
-    out: dict[str, list] = {c: [] for c in cols}
-    for c in cols:
-        for p in probs:
-            b = brackets.get((c, p))
-            if b is None:
-                out[c].append(None)
-                continue
-            low, high = (_pick(b, k, found.get(c, ())) for k in (b.k, b.m))
-            out[c].append(low + (high - low) * (b.position - b.k))
+            out.append((lo, hi))
     return out
 
 
-def _pick(b, k, found):
-    if b.lo == b.hi:
-        return b.lo
-    seen = b.below
-    for v, m in found:
-        if b.lo <= v <= b.hi:
-            seen += m
-            if seen > k:
-                return v
-    raise AssertionError("order statistic outside its bracket")
+def _counted(df, cols, spans):
+    """(n, slot, value, c): slot 2i+1 counts the values of a column's i-th interval one by one,
+    slot 2i all values between the intervals before and after it."""
+    bounds = [np.array(s, dtype="float64").reshape(-1, 2) for s in spans]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for n, b in enumerate(bounds):
+                if not len(b):
+                    continue
+                v = batch.column(n).to_numpy(zero_copy_only=False)
+                v, c = np.unique(v[~np.isnan(v)], return_counts=True)
+                at = np.searchsorted(b[:, 1], v, "left")
+                inside = (at < len(b)) & (v >= b[np.minimum(at, len(b) - 1), 0])
+                gaps = np.bincount(at[~inside], weights=c[~inside], minlength=len(b) + 1).astype(np.int64)
+                used = np.flatnonzero(gaps)
+                found.append((np.full(len(used), n), 2 * used, np.full(len(used), np.nan), gaps[used]))
+                found.append((np.full(inside.sum(), n), 2 * at[inside] + 1, v[inside], c[inside]))
+            if found:
+                n, slot, value, c = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(n.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(value, from_pandas=True), pa.array(c.astype(np.int64))],
+                    ["n", "slot", "value", "c"],
+                )
+
+    parts = df.select(*[dbl(c).alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(count, "n int, slot int, value double, c bigint")
+    path = scratch_dir(df.sparkSession, "quantiles")
+    parts.groupBy("n", "slot", "value").agg(F.sum("c").alias("c")).write.parquet(path)
+    return df.sparkSession.read.schema("n int, slot int, value double, c bigint").parquet(path)
+
+
+def _by_brackets(df, cols, probs, accuracy):
+    """Two passes over the table; order statistics are then found by running counts inside Spark,
+    and only they (two per column and probability) and the slots' sizes reach the driver."""
+    sizes, spans = _spans(df, cols, probs, accuracy)
+    ranks = {
+        n: sorted({r for p in probs for r in (math.floor((size - 1) * p), math.ceil((size - 1) * p))}) for n, size in enumerate(sizes) if size
+    }
+    values: dict[tuple[int, int], float] = {}
+    while ranks:
+        table = _counted(df, cols, spans)
+        slots: dict[int, list] = {}
+        for r in table.groupBy("n", "slot").agg(F.sum("c").alias("c")).collect():
+            slots.setdefault(r["n"], []).append((r["slot"], r["c"]))
+        wanted, missed = [], {}
+        for n, of_column in ranks.items():
+            before, left = 0, list(of_column)
+            edges, wider = [-math.inf, *[e for s in spans[n] for e in s], math.inf], []
+            for slot, c in sorted(slots[n]):
+                here = [r for r in left if r < before + c]
+                left = left[len(here) :]
+                if slot % 2:
+                    wanted += [(n, slot, r - before, r) for r in here]
+                elif here:  # outside every interval, against the sketch's bound: look between them
+                    missed.setdefault(n, set()).update(here)
+                    wider.append((edges[slot], edges[slot + 1]))
+                before += c
+            spans[n] = _merged([*spans[n], *wider])
+        if wanted:
+            sought = df.sparkSession.createDataFrame(wanted, "n int, slot int, local bigint, rank bigint")  # two per column and probability
+            running = Window.partitionBy("n", "slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+            inside = table.where("value is not null").withColumn("upto", F.sum("c").over(running))
+            hit = inside.join(F.broadcast(sought), ["n", "slot"]).where("local < upto and local >= upto - c")
+            values.update({(r["n"], r["rank"]): r["value"] for r in hit.select("n", "rank", "value").collect()})
+        ranks = {n: sorted(r) for n, r in missed.items()}
+
+    def at(n, p):
+        if not sizes[n]:
+            return None
+        position = (sizes[n] - 1) * p
+        low, high = values[n, math.floor(position)], values[n, math.ceil(position)]
+        return low if low == high else low + (high - low) * (position - math.floor(position))
+
+    return {c: [at(n, p) for p in probs] for n, c in enumerate(cols)}
 
 
 def exact_quantiles(
@@ -193,16 +143,19 @@ def exact_quantiles(
     cols: list[str],
     probs: list[float],
     exact_cells: int = EXACT_CELLS,
-    bracket_rows: int = BRACKET_ROWS,
+    bracket_rows: int | None = None,
     total: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column, exact at any size."""
+    """Linear-interpolated quantiles per column, exact at any size.
+
+    ``bracket_rows`` asks for intervals of about so many rows in place of the finest ones.
+    """
     if not cols:
         return {}
     total = df.count() if total is None else total
     if total * len(cols) <= exact_cells:
         return _by_percentile(df, cols, probs)
-    return _by_brackets(df, cols, probs, bracket_rows)
+    return _by_brackets(df, cols, probs, max(2, min(ACCURACY, total // bracket_rows)) if bracket_rows else ACCURACY)
 
 
 def long_values(df: DataFrame, cols: list[str], kind: str = "string") -> DataFrame:

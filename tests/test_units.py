@@ -559,3 +559,30 @@ def test_wide_values_are_not_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([("x" * 6400 + str(i % 3),) for i in range(30)], "t string")
     step = encode.fit_label(df, "t")
     assert step.params["rows"] >= 300
+
+
+@pytest.mark.parametrize("bracket_rows", [None, 100])
+def test_quantiles_of_200_columns(spark, bracket_rows):
+    """Continuous, tied, constant, infinite and empty columns; seven quantiles each, exactly."""
+    rng = np.random.default_rng(11)
+    n, probs = 2500, [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    made = {
+        0: lambda: rng.normal(0, 1e6, n), 1: lambda: rng.integers(0, 3, n).astype(float), 2: lambda: np.full(n, 7.0),
+        3: lambda: np.where(rng.random(n) < 0.4, np.nan, rng.random(n)), 4: lambda: np.full(n, np.nan),
+    }
+    pdf = pd.DataFrame({f"c{i}": made[i % 5]() for i in range(200)})
+    got = quantiles.exact_quantiles(spark.createDataFrame(pdf), list(pdf), probs, exact_cells=0, bracket_rows=bracket_rows)
+    for c in pdf:
+        known = pdf[c].dropna()
+        if known.empty:
+            assert got[c] == [None] * len(probs)
+        else:
+            assert got[c] == pytest.approx(list(known.quantile(probs)), rel=1e-12)
+
+
+def test_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
+    """Order statistics outside every interval are looked for between them."""
+    df = spark.range(1000).select((F.col("id") * 1.5).alias("x"))
+    monkeypatch.setattr(quantiles, "_spans", lambda *a: ([1000], [[(30.0, 40.0), (900.0, 901.0)]]))
+    probs = [0.0, 0.02, 0.5, 1.0]
+    assert quantiles.exact_quantiles(df, ["x"], probs, exact_cells=0)["x"] == pytest.approx([1.5 * 999 * p for p in probs])
