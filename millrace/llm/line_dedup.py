@@ -307,13 +307,16 @@ def deduplicate_lines(
     """``docs`` without the repeated lines; a text of which nothing is left goes.
 
     Columns stay as they are, but for ``n_chars``, which follows the text if it is there.
-    Texts without a repeated line, rows with a null key and null texts stay unchanged.
+    Texts without a repeated line, rows with a null key and null texts stay unchanged; rows of
+    equal key and different texts are documents of their own.
     """
-    gone = repeated_lines(docs, key, text, tau, min_chars, exact_chars).where("not kept")
-    per_doc = gone.groupBy(F.col(key).alias("__key")).agg(F.collect_set("line_no").alias("__gone"))  # a document's own lines
+    # a row goes by its key and its text, as rows of equal keys may hold different texts
+    row = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text")))
+    gone = repeated_lines(docs.select(row.alias("__row"), F.col(text)), "__row", text, tau, min_chars, exact_chars).where("not kept")
+    per_doc = gone.groupBy(F.col("__row").alias("__key")).agg(F.collect_set("line_no").alias("__gone"))  # a document's own lines
     lines = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    out = docs.join(per_doc, docs[key] == F.col("__key"), "left").withColumn(
+    out = docs.withColumn("__row", row).join(per_doc, F.col("__row") == F.col("__key"), "left").withColumn(
         "__left", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left)
     ).where(F.col("__gone").isNull() | (F.length(F.trim("__left")) > 0))
     columns = []

@@ -272,3 +272,19 @@ def test_few_requests_give_the_same_proofs(spark, docs, rows):
 
     expected = [r for r in plain_manifest(rows) if r[0] is not None and r[0] % 17 == 0]
     assert run_manifest(docs, asked=F.col("key") % 17 == 0) == expected
+
+
+# --- 2: lines of rows with equal keys -----------------------------------------------------
+
+
+def test_equal_keys_with_different_texts_lose_no_line(spark):
+    from millrace.llm import line_dedup
+
+    repeated = "this line stands in three of the texts and is long enough"
+    rows = [
+        (0, repeated + "\nonly in the text of key zero, nowhere else at all", "en", "s", 0, None, None),
+        (1, repeated + "\nonly in the first text of key one, nowhere else", "en", "s", 0, None, None),
+        (1, "first line of the other text of key one, which stands alone\n" + repeated, "en", "s", 0, None, None),
+    ]
+    out = sorted(r["text"] for r in line_dedup.deduplicate_lines(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert out == sorted([rows[0][1], rows[1][1].split("\n")[1], rows[2][1].split("\n")[0]])
