@@ -228,7 +228,7 @@ def ml_ensemble_top3(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return tidy(ml.forest_importance(_orders(spark, sf), "amount", ORDER_FEATURES, trees=20), 3)
+    return tidy(ml.forest_importance(_orders(spark, sf), "amount", ORDER_FEATURES), 3)
 
 
 @query("save_load_model", "select count(*) as n from orders")

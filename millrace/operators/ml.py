@@ -59,9 +59,9 @@ def make_estimator(name: str, task: str, n_classes: int = 2, n_features: int = 0
     cols = {"featuresCol": "features", "labelCol": "label"}
     if task == "classification":
         made = {
-            "logistic": lambda: C.LogisticRegression(maxIter=50, **cols),
+            "logistic": lambda: C.LogisticRegression(maxIter=500, **cols),
             "tree": lambda: C.DecisionTreeClassifier(seed=SEED, **cols),
-            "forest": lambda: C.RandomForestClassifier(numTrees=20, seed=SEED, **cols),
+            "forest": lambda: C.RandomForestClassifier(numTrees=100, seed=SEED, **cols),
             "gbt": lambda: C.GBTClassifier(maxIter=10, seed=SEED, **cols),
             "naive_bayes": lambda: C.NaiveBayes(modelType="gaussian", **cols),
             "svc": lambda: C.LinearSVC(maxIter=20, **cols),
@@ -76,7 +76,7 @@ def make_estimator(name: str, task: str, n_classes: int = 2, n_features: int = 0
             "lasso": lambda: R.LinearRegression(regParam=0.01, elasticNetParam=1.0, **cols),
             "elasticnet": lambda: R.LinearRegression(regParam=0.01, elasticNetParam=0.5, **cols),
             "tree": lambda: R.DecisionTreeRegressor(seed=SEED, **cols),
-            "forest": lambda: R.RandomForestRegressor(numTrees=20, seed=SEED, **cols),
+            "forest": lambda: R.RandomForestRegressor(numTrees=100, seed=SEED, **cols),
             "gbt": lambda: R.GBTRegressor(maxIter=10, seed=SEED, **cols),
         }.get(name)
     if made is None:
