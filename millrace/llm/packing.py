@@ -20,6 +20,7 @@ from __future__ import annotations
 import array
 import base64
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -49,12 +50,15 @@ class _Units(dict):
     A unit runs from white space to the next white space.  No match of the vocabulary's
     splitting pattern crosses from a word into the white space after it, so units are
     encoded alone.  A key stands for itself with a blank before it, or, marked with NUL
-    or beginning with a line feed, for itself.
+    or beginning with a line feed, for itself.  The strings of ``added`` tokens are matched
+    first, longest at a place, and part the text.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, added: dict[str, int]):
         super().__init__()
         self.encode = encode
+        self.added = {token: array.array("I", [i]).tobytes() for token, i in added.items()}
+        self.parting = re.compile("(%s)" % "|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
 
     def __missing__(self, unit: str) -> bytes:
         if len(unit) > 2 and unit[-1] in ".," and unit[-2].isalpha():
@@ -68,6 +72,12 @@ class _Units(dict):
     def ids(self, text: str) -> bytes:
         if len(self) > MEMO_ENTRIES:
             self.clear()
+        if self.parting and self.parting.search(text):
+            parts = self.parting.split(text)
+            return b"".join(self.added[part] if i % 2 else self.plain(part) for i, part in enumerate(parts))
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
         if not text:
             return b""
         if _IRREGULAR.search(text):
@@ -85,7 +95,7 @@ _encoders: dict[str, _Units] = {}
 
 
 def token_units(vocabulary: str) -> _Units:
-    """The memo of a vocabulary, one per Python worker; special tokens' strings are text.
+    """The memo of a vocabulary, one per Python worker; its added tokens are those of the ``.json`` file.
 
     ``vocabulary`` names a byte-level BPE of `public_tokenizers` by its ``.json`` file; the
     same vocabulary as ranks gives the same ids several times faster on short units.
@@ -96,8 +106,10 @@ def token_units(vocabulary: str) -> _Units:
 
         with open(public_tokenizers.path(vocabulary.replace(".json", ".tiktoken")), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        with open(public_tokenizers.path(vocabulary), "rb") as f:
+            added = {token["content"]: token["id"] for token in json.load(f)["added_tokens"]}
         coder = tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _encoders[vocabulary] = _Units(coder.encode_ordinary)
+        _encoders[vocabulary] = _Units(coder.encode_ordinary, added)
     return _encoders[vocabulary]
 
 
