@@ -75,9 +75,14 @@ def _longs(bits: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(longs.ravel()), bits.shape[1] // 64).cast(pa.list_(pa.int64()))
 
 
+def row_hash(key: str, text: str) -> Column:
+    """Tells the texts of equal keys apart."""
+    return F.xxhash64(F.col(key), F.col(text).cast("string"))
+
+
 def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFrame:
-    """(key, n_shingles, set1, set2, sig, root, sketch, parity): two digests of the set, 16 bits of
-    each minwise token, all 64 of those that trees start from, one more bit of each as longs, and
+    """(key, row, n_shingles, set1, set2, sig, root, sketch, parity): a hash of key and text (`row_hash`),
+    two digests of the set, 16 bits of each minwise token, all 64 of those that trees start from, one more bit of each as longs, and
     the parities of PARITIES buckets of shingles."""
     k = rules.coordinates
     factors = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[0]) | np.uint64(1)
@@ -106,13 +111,13 @@ def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFr
             lists = [_longs((mixed & np.uint64(1)).astype(np.uint8)), _longs(odd)]
             raw = pa.array([t.tobytes() for t in tokens], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(one), pa.array(two), raw, root, *lists],
-                [key, "n_shingles", "set1", "set2", "sig", "root", "sketch", "parity"],
+                [batch.column(0), batch.column(2), pa.array(size), pa.array(one), pa.array(two), raw, root, *lists],
+                [key, "row", "n_shingles", "set1", "set2", "sig", "root", "sketch", "parity"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-        sign, f"`{key}` {kind}, n_shingles bigint, set1 bigint, set2 bigint, sig binary, root array<bigint>, sketch array<bigint>, parity array<bigint>"
+    return docs.select(F.col(key), F.col(text).cast("string"), row_hash(key, text)).mapInArrow(
+        sign, f"`{key}` {kind}, row bigint, n_shingles bigint, set1 bigint, set2 bigint, sig binary, root array<bigint>, sketch array<bigint>, parity array<bigint>"
     )
 
 
@@ -168,21 +173,28 @@ def may_link(rules: JoinRules):
     return alike
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, rules: JoinRules) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) whose full sets reach the threshold, and the table of texts that they are tested on."""
+def confirm(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, text: str, rules: JoinRules
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of ``classes`` (id, low: key and row of one of its texts) whose full sets reach
+    the threshold, and the table of texts that they are tested on."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(ids.select(F.xxhash64("id").alias("h")), "h"))  # fixed size
+    wanted = stored(classes.join(ids, "id", "left_semi").select("id", F.col("low.key").alias("key"), F.col("low.row").alias("row")), "wanted")
+    bitmap = docs.sparkSession.sparkContext.broadcast(key_bitmap(wanted, "row"))  # fixed size
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = in_bitmap(bitmap.value, batch.column(2).to_numpy())
-            yield batch.filter(pa.array(hit)).select([0, 1])
+            yield batch.filter(pa.array(in_bitmap(bitmap.value, batch.column(2).to_numpy())))
 
     kind = docs.schema[key].dataType.simpleString()
-    source = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("body"), F.xxhash64(key).alias("h"))
+    source = docs.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(text).cast("string").alias("body"), row_hash(key, text).alias("row")
+    )
     texts = stored(
-        source.mapInArrow(thin, f"id {kind}, body string").join(ids, "id", "left_semi").groupBy("id").agg(F.min("body").alias("body")), "texts"
+        source.mapInArrow(thin, f"key {kind}, body string, row bigint").join(wanted, ["key", "row"])
+        .groupBy("id").agg(F.min("body").alias("body")), "texts"
     )
+    discard(wanted)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +209,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, rules: JoinR
     joined = pairs.join(texts.select(F.col("id").alias("b"), F.col("body").alias("two")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("body").alias("one")), "a"
     )
-    return joined.select("a", "b", "one", "two").mapInArrow(test, f"a {kind}, b {kind}"), texts
+    return joined.select("a", "b", "one", "two").mapInArrow(test, "a bigint, b bigint"), texts
 
 
 def _cached(column: pa.Array, ids: list, rules: JoinRules) -> Iterator[tuple[int, np.ndarray]]:
@@ -209,20 +221,32 @@ def _cached(column: pa.Array, ids: list, rules: JoinRules) -> Iterator[tuple[int
             yield row, found
 
 
+def same_key(sets: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """Links (a, b) between the classes of the different texts of one key."""
+    digest = F.struct("n_shingles", "set1", "set2")
+    shared = (
+        sets.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
+        .groupBy(F.col(key).alias("__key")).agg(F.min(digest).alias("lead"), F.max(digest).alias("end")).where("lead != end")
+    )
+    several = sets.join(shared, F.col(key) == F.col("__key")).where("n_shingles > 0").select(digest.alias("own"), "lead").distinct()
+    one, two = (classes.select(digest.alias(c), F.col("id").alias(i)) for c, i in (("lead", "a"), ("own", "b")))
+    return stored(several.where("own != lead").join(one, "lead").join(two, "own").select("a", "b"), "same_key")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: JoinRules = JoinRules()) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable), kept.
 
     A text with fewer words than a shingle is one shingle; one without words (null, empty,
     blank) has none, is linked with nothing and kept.  A null key takes no part: its
-    component is null and it is kept.  Rows with equal keys are one document with the
-    smallest of their sets' digests; each comes out.  Equal texts share a component, an
+    component is null and it is kept.  Rows with equal keys are one document, whose texts are
+    linked with one another; each comes out with its own n_shingles.  Equal texts share a component, an
     empty table gives an empty table, other columns are not read.
     """
     signed = stored(signatures(docs, key, text, rules), "signatures")
     usable = signed.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
     reps = stored(usable.groupBy("n_shingles", "set1", "set2").agg(
-        F.min(key).alias("id"), F.first("sig").alias("sig"), F.first("root").alias("root"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")
-    ), "classes")
+        F.min(F.struct(F.col(key).alias("key"), "row")).alias("low"), F.first("sig").alias("sig"), F.first("root").alias("root"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")
+    ).withColumn("id", F.monotonically_increasing_id()), "classes")  # numbers of the written rows
     slim = stored(signed.select(key, "n_shingles", "set1", "set2"), "sets")
     discard(signed)
     facts, alike, same = reps.select("id", "n_shingles", "sketch"), may_link(rules), sets_may_link(rules)
@@ -241,13 +265,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         found = stored(pairs, "pairs")
-        tested, spent = confirm(found, docs, key, text, rules)
+        tested, spent = confirm(found, docs, reps.select("id", "low"), key, text, rules)
         out = stored(tested, "links")
         discard(found, spent)
         return out
 
     members = stored(crowded(roots(reps, rules)), "nodes")
-    links = confirmed(possible(star_pairs(members, alike)))
+    links = confirmed(possible(star_pairs(members, alike))).unionByName(same_key(slim, reps, key))
     labels = stored(components(links), "labels")
 
     # nodes with several components: the nearly pure are compared now, the others branch on
@@ -266,8 +290,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         level = stored(crowded(branches(large.select("key", "id").join(reps.select("id", "sig"), "id"), rules)), "nodes")
         discard(rows)
     second = confirmed(ready.distinct())
-    joined = components(links.unionByName(second)).withColumnRenamed("id", "rep")
-    of_class = reps.select("n_shingles", "set1", "set2", F.col("id").alias("rep")).join(joined, "rep", "left")
+    joined = stored(components(links.unionByName(second)), "components")
+    own = reps.select("n_shingles", "set1", "set2", "id", F.col("low.key").alias("rep"))
+    least = joined.join(own, "id").groupBy("component").agg(F.min("rep").alias("least"))
+    of_class = own.join(joined.join(least, "component").select("id", "least"), "id", "left").select(
+        "n_shingles", "set1", "set2", "rep", F.col("least").alias("component")
+    )
     named = slim.join(of_class, ["n_shingles", "set1", "set2"], "left")
     linked = F.coalesce("component", F.when(F.col("n_shingles") > 0, F.col("rep")), F.col(key))
     return named.select(

@@ -13,6 +13,7 @@ import pytest
 import xxhash
 
 from millrace.llm import collocations, merkle, simhash
+from millrace.llm.near_dup import near_duplicates
 from tests.llm.test_llm import SCHEMA, made_texts, words_of
 
 NAMES = ["doc_id", "text", "lang", "source", "n_chars", "score", "shard"]
@@ -288,3 +289,13 @@ def test_equal_keys_with_different_texts_lose_no_line(spark):
     ]
     out = sorted(r["text"] for r in line_dedup.deduplicate_lines(spark.createDataFrame(rows, SCHEMA)).collect())
     assert out == sorted([rows[0][1], rows[1][1].split("\n")[1], rows[2][1].split("\n")[0]])
+
+
+def test_equal_keys_with_different_texts_lose_no_link(spark):
+    one, two = ([f"{w}{k}" for k in range(40)] for w in ("alpha", "beta"))
+    near = [*two[:-1], "other"]
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(near)), (3, " ".join(one)), (4, "alone here today"), (4, None)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id int, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True)
+    ]
