@@ -22,9 +22,6 @@ from millrace.llm.common import _FOLDED, _MASK, _power_tables, groups_of, hash_s
 
 BUCKETS = 1 << 17
 TELLING = 4
-#: Training reads at most this many bytes of one text, in evenly spaced blocks.
-SAMPLE_BYTES = 65_536
-_BLOCKS = 16
 
 _PART = np.ones(256, dtype=bool)  # bytes of words: letters, digits, everything beyond ASCII
 for _c in range(128):
@@ -102,6 +99,16 @@ def telling_mean(scores: np.ndarray, k: int) -> float:
     return float(scores[telling_words(scores, k)].sum()) / k
 
 
+def bag_of(text: bytes, k: int) -> tuple[bytes, list[float]]:
+    """A text as its distinct words, each up to ``k`` times, and how many tokens each of these
+    stands for: training on it equals training on the whole text, whatever its length."""
+    starts, ends, _ = token_spans(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))
+    _, first, counts = np.unique(hash_spans(np.frombuffer(text, dtype=np.uint8), starts, ends, fold=True), return_index=True, return_counts=True)
+    copies = np.minimum(counts, k)
+    words = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    return b" ".join(w for w, n in zip(words, copies.tolist(), strict=True) for _ in range(n)), np.repeat(counts / copies, copies).tolist()
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     table: np.ndarray  # per bucket: vector times (weights of class 1 minus class 0)
@@ -115,8 +122,9 @@ class ToxicityModel:
 def fit_subwords(
     texts: list[bytes], labels: np.ndarray, prior: float, dim: int = 8, k: int = TELLING, rounds: int = 16,
     steps: int = 12, rate: float = 0.03, decay: float = 1e-5, least: int = 5, miss_cost: float = 2.7, seed: int = 7,
+    weights_of: list[list[float]] | None = None,
 ) -> ToxicityModel:
-    """Vectors and softmax by Adam, all texts at once.
+    """Vectors and softmax by Adam, all texts at once (``weights_of``: texts and weights of `bag_of`).
 
     ``prior`` is the share of class 1; a missed text of class 1 counts as ``miss_cost``
     texts of class 0 flagged in error, which shifts the bias by its logarithm.
@@ -140,6 +148,7 @@ def fit_subwords(
     share = 1.0 / np.bincount(owner, minlength=nwords)
 
     # n-grams of fewer than `least` texts say nothing: they keep a zero vector, as unseen ones do
+    weight = np.ones(len(word)) if weights_of is None else np.concatenate([np.asarray(w, dtype=float) for w in weights_of])
     text_of_token = np.repeat(np.arange(len(texts)), np.diff(firsts))
     pairs = np.unique(word.astype(np.int64) * len(texts) + text_of_token)
     in_texts = np.bincount(pairs // len(texts), minlength=nwords).astype(float)
@@ -159,21 +168,22 @@ def fit_subwords(
     for turn in range(rounds):
         if turn == 0:
             chosen = [np.arange(firsts[d], firsts[d + 1]) for d in range(len(texts))]
-            size = np.maximum(np.diff(firsts), 1)
+            size = np.maximum(np.bincount(text_of_token, weight, len(texts)), 1)
         else:
             now = scores()[word]
             chosen = [firsts[d] + telling_words(now[firsts[d] : firsts[d + 1]], k) for d in range(len(texts))]
             size = np.full(len(texts), k)
         which = np.repeat(np.arange(len(texts)), [len(c) for c in chosen])
-        token = word[np.concatenate(chosen)]
+        taken = np.concatenate(chosen)
+        token, times = word[taken], weight[taken] if turn == 0 else np.ones(len(taken))
         target = labels
         balance = np.where(target == 1, 0.5 / max(target.mean(), 1e-9), 0.5 / max(1 - target.mean(), 1e-9)) / len(texts)
         for _ in range(steps):
             step += 1
-            mean = np.bincount(which, scores()[token], len(texts)) / size
+            mean = np.bincount(which, scores()[token] * times, len(texts)) / size
             p = 1 / (1 + np.exp(-np.clip(mean + biases[1] - biases[0], -60, 60)))
             delta = (p - target) * balance
-            on_word = np.bincount(token, (delta / size)[which], nwords) * share
+            on_word = np.bincount(token, (delta / size)[which] * times, nwords) * share
             pull = np.bincount(bucket, on_word[owner], BUCKETS)
             diff = weights[:, 1] - weights[:, 0]
             pull *= known
@@ -199,12 +209,13 @@ def held_out(key: str, mod: int, remainder: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, key: str, text: str
-) -> tuple[list[tuple[bytes, int]], float]:
-    """At most ``per_class`` texts of each label among the rows ``learn``, and the share of label 1.
+    docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, key: str, text: str, k: int = TELLING
+) -> tuple[list[tuple[bytes, int, list[float]]], float]:
+    """At most ``per_class`` texts of each label among the rows ``learn`` as (words, label, weights)
+    of `bag_of`, and the share of label 1.
 
     The choice is by a hash of the key and so the same at each run.  Rows without a label
-    or key are no examples; a key with two labels counts as 1.
+    or key are no examples; a key with two labels counts as 1, of its texts the least is read.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & learn)
@@ -216,21 +227,21 @@ def labelled_sample(
         part = known.where(F.col("__y") == y).orderBy(F.xxhash64(key), key).limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for value in batch.column(1):
-                raw = (value.as_py() or "").encode()
-                if len(raw) > SAMPLE_BYTES:
-                    size, gap = SAMPLE_BYTES // _BLOCKS, len(raw) // _BLOCKS
-                    raw = b" ".join(raw[i * gap : i * gap + size] for i in range(_BLOCKS))
-                out.append(raw)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["__y", "raw"])
+            found = [bag_of((value.as_py() or "").encode(), k) for value in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([w for w, _ in found], pa.binary()), pa.array([n for _, n in found], pa.list_(pa.float64()))],
+                ["__y", "raw", "weights"],
+            )
 
     # 2 * per_class keys at most are broadcast
-    chosen = docs.select(key, F.col(text).cast("string").alias("__text")).join(F.broadcast(ids), key)
-    rows = chosen.dropDuplicates([key]).select("__y", "__text").mapInArrow(blocks, "`__y` int, raw binary").collect()
-    rows = sorted((bytes(r["raw"]), r["__y"]) for r in rows)
+    chosen = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).join(
+        F.broadcast(ids.select(F.col(key).alias("__key"), "__y")), "__key"
+    )
+    texts = chosen.groupBy("__key", "__y").agg(F.min("__text").alias("__text")).select("__y", "__text")
+    rows = texts.mapInArrow(bags, "`__y` int, raw binary, weights array<double>").collect()
+    rows = sorted((bytes(r["raw"]), r["__y"], r["weights"]) for r in rows)
     total = sum(shares.values())
     prior = min(max(shares.get(1, 0) / total, 1e-3), 1 - 1e-3) if total else 0.5
     return rows, prior
@@ -258,7 +269,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 1500, key: str = "doc_id", text: str = "text") -> ToxicityModel:
     rows, prior = labelled_sample(docs, labels, "toxic", learn, per_class, key, text)
-    return fit_subwords([r for r, _ in rows], np.array([y for _, y in rows]), prior)
+    return fit_subwords([r for r, _, _ in rows], np.array([y for _, y, _ in rows]), prior, weights_of=[w for _, _, w in rows])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7, per_class: int = 1500) -> DataFrame:
