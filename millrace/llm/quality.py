@@ -9,6 +9,10 @@ first.  The classifier then minimises the non-negative unbiased risk
 with the sigmoid loss, which no single text can dominate; while the bracket is negative, its gradient is followed upwards,
 so that a flexible model cannot fit the positives it has seen.  The model is additive
 over binned facts of the whole text, so a score can be explained bin by bin.
+
+The mixture is the whole corpus, labelled rows included with their labels unread.  Bin
+edges, score tails and the prior come from all its rows; the risk is minimised on bounded
+samples of trusted positives and of the mixture.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import groups_of, hash_spans, shingle_hashes, text_bytes, word_spans
+from millrace.llm.common import groups_of, hash_spans, shingle_hashes, stored, text_bytes, word_spans
 from millrace.llm.toxicity import held_out
+from millrace.operators.quantiles import exact_quantiles
 
 FACTS = (
     "log_words", "word_bytes", "upper", "digits", "marks", "pipes", "bangs", "stops", "commas", "lines", "other_marks",
@@ -120,97 +125,150 @@ def _adam(step, size: int, rounds: int, rate: float, start: np.ndarray | None =
     return w
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, slack: float = 0.1) -> float:
+def tail_shares(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many scores reach each of the ascending thresholds."""
+    slots = np.bincount(np.searchsorted(at, scores, "right"), minlength=len(at) + 1)
+    return slots[::-1].cumsum()[::-1][1:]
+
+
+def prior_of_tails(q_p: np.ndarray, n_p: int, q_u: np.ndarray, n_u: int, slack: float = 0.1) -> float:
     """Share of positives among the unlabelled: least ratio of the two tails of a score.
 
     Above any threshold the unlabelled hold at least prior times the positives' share; the
     threshold is chosen with a bound on the error of both shares.
     """
+    error = np.sqrt(np.log(4 / slack) / (2 * n_u)) + np.sqrt(np.log(4 / slack) / (2 * n_p))
+    best = int(np.argmin(q_u / q_p + (1 + slack) * error / q_p))
+    return float(np.clip(q_u[best] / q_p[best], 0.01, 0.99))
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """`prior_of_tails` of two arrays of scores."""
     n_p, n_u = len(positive), len(unlabelled)
     if not n_p or not n_u:
         return 0.5
     at = np.unique(positive)
-    q_p = 1 - np.searchsorted(np.sort(positive), at, "left") / n_p
-    q_u = 1 - np.searchsorted(np.sort(unlabelled), at, "left") / n_u
-    error = np.sqrt(np.log(4 / slack) / (2 * n_u)) + np.sqrt(np.log(4 / slack) / (2 * n_p))
-    best = int(np.argmin(q_u / q_p + (1 + slack) * error / q_p))
-    return float(np.clip(q_u[best] / q_p[best], 0.01, 0.99))
+    return prior_of_tails(tail_shares(positive, at) / n_p, n_p, tail_shares(unlabelled, at) / n_u, n_u)
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, decay: float = 1e-3, rounds: int = 400) -> PuModel:
-    """The non-negative unbiased risk minimiser over binned facts."""
-    both = np.concatenate([positive, unlabelled])
-    if not len(positive) or not len(unlabelled):
-        edges = tuple(np.zeros(0) for _ in FACTS)
-        base = prior if prior is not None else (0.99 if len(positive) else 0.5)
-        return PuModel(edges, np.zeros((len(FACTS), BINS + 1)), float(np.log(base / (1 - base))), base)
-    # half of the edges part the bulk, half its upper and lower ends, where junk lies
-    probs = np.unique(np.concatenate([np.linspace(0.1, 0.9, BINS - 8), [0.005, 0.01, 0.02, 0.05, 0.95, 0.98, 0.99, 0.995]]))
-    edges = tuple(np.unique(np.quantile(both[:, f], probs)) for f in range(len(FACTS)))
-    xp, xu = _one_hot(edges, positive), _one_hot(edges, unlabelled)
-    size = xp.shape[1] + 1
-    xp, xu = (np.hstack([x, np.ones((len(x), 1))]) for x in (xp, xu))
-
-    # positives against unlabelled on one half, the prior from the scores of the other
-    def apart(w: np.ndarray) -> np.ndarray:
-        return xp[::2].T @ (_sigmoid(xp[::2] @ w) - 1) / len(xp[::2]) + xu[::2].T @ _sigmoid(xu[::2] @ w) / len(xu[::2]) + decay * w
-
-    if prior is None:
-        w = _adam(apart, size, rounds // 2, 0.05)
-        prior = estimate_prior(xp[1::2] @ w, xu[1::2] @ w)
-
-    def risk(w: np.ndarray) -> np.ndarray:
-        p, u = _sigmoid(xp @ w), _sigmoid(xu @ w)
-        up = prior * xp.T @ (p * (1 - p)) / len(xp)
-        minus = xu.T @ (u * (1 - u)) / len(xu) - up
-        return (minus - up if u.mean() >= prior * p.mean() else -minus) + decay * w
-
-    # the loss is not convex: start from the convex problem, at the prior's odds
-    w = _adam(risk, size, rounds, 0.05, _adam(apart, size, rounds // 2, 0.05) + np.eye(size)[-1] * np.log(prior / (1 - prior)))
-    return PuModel(edges, w[:-1].reshape(len(FACTS), BINS + 1), float(w[-1]), prior)
+#: Half of the edges part the bulk, half its upper and lower ends, where junk lies.
+PROBS = sorted({*np.linspace(0.1, 0.9, BINS - 8).tolist(), 0.005, 0.01, 0.02, 0.05, 0.95, 0.98, 0.99, 0.995})
+
+
+def constant(share: float) -> PuModel:
+    return PuModel(tuple(np.zeros(0) for _ in FACTS), np.zeros((len(FACTS), BINS + 1)), float(np.log(share / (1 - share))), share)
+
+
+class _Fit:
+    """Positives and a sample of the mixture over given bin edges."""
+
+    def __init__(self, edges: tuple[np.ndarray, ...], positive: np.ndarray, mixture: np.ndarray, decay: float, rounds: int):
+        self.edges, self.decay, self.rounds = edges, decay, rounds
+        self.xp, self.xu = (np.hstack([_one_hot(edges, x), np.ones((len(x), 1))]) for x in (positive, mixture))
+
+    def model(self, w: np.ndarray, prior: float) -> PuModel:
+        return PuModel(self.edges, w[:-1].reshape(len(FACTS), BINS + 1), float(w[-1]), prior)
+
+    def apart(self) -> np.ndarray:
+        """Weights of positives against the mixture, a convex problem."""
+        xp, xu = self.xp, self.xu
+
+        def slope(w: np.ndarray) -> np.ndarray:
+            return xp.T @ (_sigmoid(xp @ w) - 1) / len(xp) + xu.T @ _sigmoid(xu @ w) / len(xu) + self.decay * w
+
+        return _adam(slope, xp.shape[1], self.rounds // 2, 0.05)
+
+    def risk(self, prior: float) -> PuModel:
+        """The non-negative unbiased risk minimiser; the loss is not convex, so it starts from `apart`, at the prior's odds."""
+        xp, xu = self.xp, self.xu
+
+        def slope(w: np.ndarray) -> np.ndarray:
+            p, u = _sigmoid(xp @ w), _sigmoid(xu @ w)
+            up = prior * xp.T @ (p * (1 - p)) / len(xp)
+            minus = xu.T @ (u * (1 - u)) / len(xu) - up
+            return (minus - up if u.mean() >= prior * p.mean() else -minus) + self.decay * w
+
+        start = self.apart() + np.eye(xp.shape[1])[-1] * np.log(prior / (1 - prior))
+        return self.model(_adam(slope, xp.shape[1], self.rounds, 0.05, start), prior)
 
 
 # --- Spark ------------------------------------------------------------------------------
 
 
-def sample_facts(docs: DataFrame, ids: DataFrame, key: str, text: str) -> np.ndarray:
-    """Facts of the whole texts of a bounded list of keys."""
+def text_facts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, facts) of every row, from its whole text."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            facts = facts_of(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(facts), pa.list_(pa.float64()))], ["key", "facts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(facts_of(batch.column(1))), pa.list_(pa.float64()))], [key, "facts"])
 
-    chosen = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).join(
-        F.broadcast(ids.select(F.col(key).alias("__key"))), "__key"
-    )
     kind = docs.schema[key].dataType.simpleString()
-    rows = chosen.mapInArrow(measure, f"key {kind}, facts array<double>").collect()
-    rows = sorted(rows, key=lambda r: (r["key"], r["facts"]))
+    return docs.select(key, F.col(text).cast("string").alias("__text")).mapInArrow(measure, f"`{key}` {kind}, facts array<double>")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FACTS))
+
+
+def sample_facts(facts: DataFrame, keys: DataFrame, sample: int, key: str) -> np.ndarray:
+    """Facts of at most ``sample`` of the distinct ``keys``, chosen by hash; the least of a repeated key."""
+    ids = keys.select(F.col(key).alias("__key")).where("__key is not null").distinct().orderBy(F.xxhash64("__key"), "__key").limit(sample)
+    chosen = facts.select(F.col(key).alias("__key"), "facts").join(F.broadcast(ids), "__key")
+    rows = chosen.groupBy("__key").agg(F.min("facts").alias("facts")).orderBy("__key").collect()
     return np.array([r["facts"] for r in rows]).reshape(-1, len(FACTS))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, key: str = "doc_id", text: str = "text") -> PuModel:
-    """At most ``sample`` trusted positives and as many unlabelled texts, chosen by key hash."""
-    known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
-    positive = known.where((F.col("quality") == 1) & learn).select(key).distinct().orderBy(F.xxhash64(key), key).limit(sample)
-    unlabelled = (
-        docs.select(key).where(F.col(key).isNotNull() & learn).distinct()
-        .join(known.select(key).distinct(), key, "left_anti")
-        .orderBy(F.xxhash64(key), key).limit(sample)
-    )
-    return fit_pu(sample_facts(docs, positive, key, text), sample_facts(docs, unlabelled, key, text))
+def bin_edges(facts: DataFrame) -> tuple[np.ndarray, ...]:
+    """Distinct quantiles of each fact over all rows."""
+    names = [f"f{i}" for i in range(len(FACTS))]
+    found = exact_quantiles(facts.select(*[F.col("facts")[i].alias(n) for i, n in enumerate(names)]), names, PROBS)
+    return tuple(np.unique([v for v in found[n] if v is not None]) for n in names)
 
 
-def score_quality(docs: DataFrame, model: PuModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) of every row."""
+def prior_of_corpus(facts: DataFrame, model: PuModel, positive: np.ndarray) -> float:
+    """The class prior from the tails of a score over all rows, at the scores of positives that
+    the model has not seen (their number bounds the counts)."""
+    logits = model.logits(positive)
+    at = np.unique(logits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = np.zeros(len(at) + 1, dtype=np.int64)
+        for batch in batches:
+            slots += np.bincount(np.searchsorted(at, model.logits(_matrix(batch.column(0))), "right"), minlength=len(slots))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(slots))), pa.array(slots)], ["slot", "n"])
+
+    slots = np.zeros(len(at) + 1, dtype=np.int64)
+    for r in facts.select("facts").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        slots[r["slot"]] = r["n"]
+    n_u = int(slots.sum())
+    return prior_of_tails(tail_shares(logits, at) / len(logits), len(logits), slots[::-1].cumsum()[::-1][1:] / n_u, n_u)
+
+
+def fit_quality(
+    facts: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, key: str = "doc_id", decay: float = 1e-3, rounds: int = 400
+) -> PuModel:
+    """The model of a table of `text_facts`; at most ``sample`` trusted positives and as many keys of
+    the mixture fit the weights, all its rows ``learn`` give edges and prior."""
+    mixture = facts.where(F.col(key).isNotNull() & learn)
+    positive = sample_facts(facts, labels.where((F.col("quality") == 1) & learn).select(key), sample, key)
+    unlabelled = sample_facts(mixture, mixture.select(key), sample, key)
+    if not len(positive) or not len(unlabelled):
+        return constant(0.99 if len(positive) else 0.5)
+    edges = bin_edges(mixture)
+    half = _Fit(edges, positive[::2], unlabelled[::2], decay, rounds)
+    unseen = positive[1::2] if len(positive) > 1 else positive
+    prior = prior_of_corpus(mixture, half.model(half.apart(), 0.5), unseen)
+    return _Fit(edges, positive, unlabelled, decay, rounds).risk(prior)
+
+
+def score_quality(facts: DataFrame, model: PuModel, key: str = "doc_id") -> DataFrame:
+    """(key, score) of every row of `text_facts`."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(facts_of(batch.column(1))))], [key, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(_matrix(batch.column(1))))], [key, "score"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, F.col(text).cast("string").alias("__text")).mapInArrow(rate, f"`{key}` {kind}, score double")
+    return facts.mapInArrow(rate, f"`{key}` {facts.schema[key].dataType.simpleString()}, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.3, sample: int = 3000) -> DataFrame:
@@ -219,10 +277,11 @@ def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     Labels are read only where crc32 of the key modulo 5 is not 0.  A null text counts as
     an empty one and gets the score of a text without words; a null key is not held out;
     equal rows get equal scores; an empty table gives an empty table; without positives or
-    unlabelled texts the score is a constant.
+    rows to learn from the score is a constant.
     """
-    model = fit_quality(docs, labels, ~held_out(key, 5, 0), sample, key, text)
-    return score_quality(docs, model, key, text).select(
+    facts = stored(text_facts(docs, key, text), "facts")
+    model = fit_quality(facts, labels, ~held_out(key, 5, 0), sample, key)
+    return score_quality(facts, model, key).select(
         key, F.coalesce(held_out(key, 5, 0), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from millrace.llm import collocations, merkle, simhash
+from millrace.llm import collocations, merkle, quality, simhash, toxicity
 from millrace.llm.near_dup import near_duplicates
 from tests.llm.test_llm import SCHEMA, made_texts, words_of
 
@@ -299,3 +299,36 @@ def test_equal_keys_with_different_texts_lose_no_link(spark):
     assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [
         (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True)
     ]
+
+
+def test_quality_with_labels_everywhere_is_no_constant(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    got = {r["doc_id"]: r["score"] for r in quality.quality(docs, labels).collect()}
+    by_label = [np.mean([got[r["doc_id"]] for r in labels.collect() if r["quality"] == y]) for y in (0, 1)]
+    assert len(set(got.values())) > 50 and by_label[1] > by_label[0] + 0.3
+
+
+def test_edges_and_prior_are_those_of_all_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(i % 2 * 3, 1, len(quality.FACTS)).tolist()) for i in range(800)]
+    facts = spark.createDataFrame(rows, "doc_id int, facts array<double>").repartition(5)
+    whole = np.array([f for _, f in rows])
+    for column, edge in zip(whole.T, quality.bin_edges(facts), strict=True):
+        assert np.allclose(edge, np.unique(np.quantile(column, quality.PROBS)))
+    fit = quality._Fit(quality.bin_edges(facts), whole[1:400:2], whole[:400], 1e-3, 100)
+    model, positive = fit.model(fit.apart(), 0.5), whole[401::2]
+    found = quality.prior_of_corpus(facts, model, positive)
+    assert found == quality.estimate_prior(model.logits(positive), model.logits(whole)) and abs(found - 0.5) < 0.1
+
+
+def test_bags_train_as_whole_texts():
+    texts = [(" ".join(made_texts(1, s)) + " vile Vile vile rot rot" * (s % 2) * 40).encode() for s in range(60)]
+    labels = np.array([s % 2 for s in range(60)])
+    bags = [toxicity.bag_of(t, toxicity.TELLING) for t in texts]
+    one = toxicity.fit_subwords(texts, labels, 0.3)
+    two = toxicity.fit_subwords([b for b, _ in bags], labels, 0.3, weights_of=[w for _, w in bags])
+    assert np.allclose(one.table, two.table, atol=1e-6) and abs(one.bias - two.bias) < 1e-6
+    assert all(abs(sum(w) - len(re.findall(rb"[A-Za-z0-9\x80-\xff]+", t))) < 1e-6 for t, (_, w) in zip(texts, bags, strict=True))
+    assert len(bags[1][0]) < len(texts[1])
