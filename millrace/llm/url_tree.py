@@ -4,8 +4,11 @@ Per host, the paths form a tree of segments.  From the root down, segments that
 wildcards: runs of digits and long hexadecimal ids by their form, others when a node has
 many children and none holds a large share.  Sibling branches whose share of blocked
 labels does not differ from the pooled share of their node are merged.  A template, i.e. a
-node of the tree so made, is rejected if the smoothed purity of the labels below it is
-high.  Labels are the verdicts of hand-written rules; a template without them is kept.
+node of the tree so made, is rejected if its smoothed purity is high.  The purity starts
+from an even prior and takes in, from far to near, the same template on other registered
+domains and on other hosts of its domain, its branch, what lies below it, and its own
+pages.  A root is not judged by the pages below it.  Labels are the verdicts of
+hand-written rules; a template without any of these is kept.
 
 The tree is built over counts per distinct path, level by level, never over one host at once.
 """
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
+from millrace.operators.skew import lookup
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -109,14 +113,48 @@ def path_templates(paths: DataFrame, rules: UrlRules) -> DataFrame:
 
 
 def rejected_templates(named: DataFrame, rules: UrlRules) -> DataFrame:
-    """(host, template) whose labels, with those below it, are mostly blocked."""
+    """(host, template, purity) of templates from ``rules.purity`` on.
+
+    Each label counts once, where it is nearest.  Elsewhere a whole host is one observation
+    (the share of its labels that are blocked), and a whole domain one beyond its domain, so
+    that one large site does not speak for strangers.  Shares are whole thousandths, so sums are exact.
+    """
     levels = F.split("template", "/", -1)
-    nodes = F.transform(F.sequence(F.lit(1), F.size(levels)), lambda n: F.array_join(F.slice(levels, 1, n), "/"))
-    sums = named.where("labelled > 0").select("host", F.explode(nodes).alias("template"), "blocked", "labelled").groupBy("host", "template").agg(
-        F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")
+    own = named.groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")).select(
+        "*", F.substring_index("host", ".", -2).alias("domain"),
+        F.when(F.size(levels) > 2, F.array_join(F.slice(levels, 1, F.size(levels) - 1), "/")).alias("parent"),
+        F.expr("if(labelled > 0, blocked * 1000 div labelled, 0)").alias("share"), (F.col("labelled") > 0).cast("bigint").alias("known"),
     )
-    smooth = (F.col("blocked") + rules.smooth / 2) / (F.col("labelled") + rules.smooth)
-    return sums.where(smooth >= rules.purity).select("host", "template", smooth.alias("purity"))
+    own = stored(own, "url_templates")
+    labelled = own.where("known = 1")
+    domains = labelled.groupBy("domain", "template").agg(F.sum("share").alias("d_share"), F.sum("known").alias("d_hosts"))
+    domains = domains.withColumn("d_mean", F.expr("d_share div d_hosts"))
+    everywhere = domains.groupBy("template").agg(F.sum("d_mean").alias("e_share"), F.count(F.lit(1)).alias("e_domains"))
+    below = F.transform(F.sequence(F.lit(2), F.size(levels)), lambda n: F.array_join(F.slice(levels, 1, n), "/"))
+    nodes = (
+        labelled.where("template != ''").select("host", F.explode(below).alias("node"), "blocked", "labelled")
+        .groupBy("host", "node").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
+    )
+
+    def at(column: str, prefix: str) -> DataFrame:
+        return nodes.select(
+            "host", F.col("node").alias(column), F.col("blocked").alias(f"{prefix}_blocked"), F.col("labelled").alias(f"{prefix}_labelled")
+        )
+
+    facts = own.join(at("template", "n"), ["host", "template"], "left")
+    for table, on in ((at("parent", "p"), ["host", "parent"]), (domains, ["domain", "template"]), (everywhere, ["template"])):
+        facts = lookup(facts, table, on)
+    facts = facts.fillna(0)
+
+    def weighed(prior: Column, blocked: str, count: str) -> Column:
+        return (F.expr(blocked) + rules.smooth * prior) / (F.expr(count) + rules.smooth)
+
+    purity = weighed(F.lit(0.5), "(e_share - d_mean) / 1000D", "e_domains - if(d_hosts > 0, 1, 0)")
+    purity = weighed(purity, "(d_share - share) / 1000D", "d_hosts - known")
+    purity = F.when(F.col("parent").isNull(), purity).otherwise(weighed(purity, "p_blocked - n_blocked", "p_labelled - n_labelled"))
+    purity = F.when(F.col("template") == "", purity).otherwise(weighed(purity, "n_blocked - blocked", "n_labelled - labelled"))
+    purity = weighed(purity, "blocked", "labelled")
+    return facts.select("host", "template", purity.alias("purity")).where(F.col("purity") >= rules.purity)
 
 
 def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules: UrlRules = UrlRules()) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from millrace.llm import collocations, merkle, quality, simhash, toxicity
+from millrace.llm import collocations, merkle, quality, simhash, toxicity, url_tree
 from millrace.llm.near_dup import near_duplicates
 from tests.llm.test_llm import SCHEMA, made_texts, words_of
 
@@ -332,3 +332,66 @@ def test_bags_train_as_whole_texts():
     assert np.allclose(one.table, two.table, atol=1e-6) and abs(one.bias - two.bias) < 1e-6
     assert all(abs(sum(w) - len(re.findall(rb"[A-Za-z0-9\x80-\xff]+", t))) < 1e-6 for t, (_, w) in zip(texts, bags, strict=True))
     assert len(bags[1][0]) < len(texts[1])
+
+
+def test_templates_reach_hosts_without_rules(spark):
+    blocked = tuple(("block", f"site{k}.org", "/promo/") for k in range(15))
+    rules = url_tree.UrlRules(rules=(*blocked, ("block", "big.com", "/win/"), ("block", "x.net", "/es/"), ("allow", "site1.org", "/")))
+    urls = [f"http://site{k}.org/promo/{n}" for k in range(15) for n in range(3)] + [f"http://site{k}.org/" for k in range(15)]
+    urls += [f"http://w{n}.big.com/win/{n}" for n in range(60)] + [f"http://x.net/es/{n}" for n in range(30)]
+    verdicts = {
+        "http://fresh.info/promo/77": "block",  # the template is blocked on 15 domains
+        "http://fresh.info/news/77": "allow", "http://fresh.info/": "allow",
+        "http://other.info/win/5": "allow",  # one domain, however large, does not speak for others
+        "http://x.net/": "allow", "http://x.net": "allow",  # not judged by the pages below
+        "http://x.net/es": "block", "http://x.net/de/1": "allow",
+        "http://site1.org/": "allow", "http://site2.org/": "allow",
+    }
+    rows = list(enumerate([*urls, *verdicts]))
+    got = {r["page_id"]: r for r in url_tree.judge_urls(spark.createDataFrame(rows, "page_id int, url string"), rules=rules).collect()}
+    assert len(got) == len(rows)
+    assert {u: got[len(urls) + i]["verdict"] for i, u in enumerate(verdicts)} == verdicts
+    assert all(got[i]["verdict"] == "block" for i, u in enumerate(urls) if "/promo/" in u or "/es/" in u)
+
+
+def brute_purity(own, host, template, smooth):
+    """The purity by its definition; own: {(host, template): (blocked, labelled)}."""
+    domain = ".".join(host.split(".")[-2:])
+    shares = {}
+    for (h, t), (b, n) in own.items():
+        if t == template and n:
+            shares.setdefault(".".join(h.split(".")[-2:]), {})[h] = b * 1000 // n
+    others = [sum(v.values()) // len(v) for d, v in shares.items() if d != domain]
+    near = [v for h, v in shares.get(domain, {}).items() if h != host]
+
+    def inside(node):
+        found = [c for (h, t), c in own.items() if h == host and (t == node or t.startswith(node + "/"))]
+        return sum(b for b, _ in found), sum(n for _, n in found)
+
+    parts = [(sum(others) / 1000, len(others)), (sum(near) / 1000, len(near))]
+    mine, parent = own[host, template], template.rpartition("/")[0]
+    if parent:
+        parts.append(tuple(x - y for x, y in zip(inside(parent), inside(template), strict=True)))
+    if template:
+        parts.append(tuple(x - y for x, y in zip(inside(template), mine, strict=True)))
+    p = 0.5
+    for blocked, count in [*parts, mine]:
+        p = (blocked + smooth * p) / (count + smooth)
+    return p
+
+
+def test_purity_equals_brute_force(spark):
+    rng = random.Random(5)
+    own = {}
+    for h in [f"{a}.d{k}.org" for a in "abc" for k in range(6)] + ["d1.org", "", "lone"]:
+        for t in ("", "/a", "/a/<n>", "/a/<n>/*", "/b", "/b/c", "/b/<n>"):
+            if rng.random() < 0.8:
+                n = rng.choice([0, 0, 1, 4, 20])
+                own[h, t] = (rng.choice([0, n // 2, n, n]), n)
+    rows = [(h, t, b, n) for (h, t), (b, n) in own.items()]
+    named = spark.createDataFrame(rows, "host string, template string, blocked bigint, labelled bigint").repartition(3)
+    got = {(r["host"], r["template"]): r["purity"] for r in url_tree.rejected_templates(named, url_tree.UrlRules(purity=0.0)).collect()}
+    assert set(got) == set(own)
+    assert all(abs(got[k] - brute_purity(own, *k, 4.0)) < 1e-12 for k in own)
+    high = url_tree.rejected_templates(named, url_tree.UrlRules()).count()
+    assert high == sum(brute_purity(own, *k, 4.0) >= 0.8 for k in own) > 0
