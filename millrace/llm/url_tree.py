@@ -128,12 +128,13 @@ def rejected_templates(named: DataFrame, rules: UrlRules) -> DataFrame:
     own = stored(own, "url_templates")
     labelled = own.where("known = 1")
     domains = labelled.groupBy("domain", "template").agg(F.sum("share").alias("d_share"), F.sum("known").alias("d_hosts"))
-    domains = domains.withColumn("d_mean", F.expr("d_share div d_hosts"))
+    domains = stored(domains.withColumn("d_mean", F.expr("d_share div d_hosts")), "url_domains")
     everywhere = domains.groupBy("template").agg(F.sum("d_mean").alias("e_share"), F.count(F.lit(1)).alias("e_domains"))
     below = F.transform(F.sequence(F.lit(2), F.size(levels)), lambda n: F.array_join(F.slice(levels, 1, n), "/"))
-    nodes = (
+    nodes = stored(
         labelled.where("template != ''").select("host", F.explode(below).alias("node"), "blocked", "labelled")
-        .groupBy("host", "node").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
+        .groupBy("host", "node").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")),
+        "url_nodes",
     )
 
     def at(column: str, prefix: str) -> DataFrame:
@@ -154,7 +155,7 @@ def rejected_templates(named: DataFrame, rules: UrlRules) -> DataFrame:
     purity = F.when(F.col("parent").isNull(), purity).otherwise(weighed(purity, "p_blocked - n_blocked", "p_labelled - n_labelled"))
     purity = F.when(F.col("template") == "", purity).otherwise(weighed(purity, "n_blocked - blocked", "n_labelled - labelled"))
     purity = weighed(purity, "blocked", "labelled")
-    return facts.select("host", "template", purity.alias("purity")).where(F.col("purity") >= rules.purity)
+    return stored(facts.select("host", "template", purity.alias("purity")).where(F.col("purity") >= rules.purity), "url_rejected")
 
 
 def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules: UrlRules = UrlRules()) -> DataFrame:
