@@ -274,12 +274,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     links = confirmed(possible(star_pairs(members, alike))).unionByName(same_key(slim, reps, key))
     labels = stored(components(links), "labels")
 
+    def apart(x: Column, y: Column) -> Column:
+        return (x["label"] != y["label"]) & alike(x, y)
+
+    def merged(links: DataFrame, name: str) -> DataFrame:
+        """Components of ``links`` on top of the known ones, which count one edge per member."""
+        known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return stored(components(known.unionByName(links)), name)
+
     # nodes with several components: the nearly pure are compared now, the others branch on
     ready, level = None, members
     for turn in range(rules.rounds + 1):
         rows = stored(mixed(label_members(level, labels)), "mixed")
-        discard(level)
         last = turn == rules.rounds
+        if last:  # families that are still together: again each node's members against one of them,
+            # so that a family is joined by few links and not by all of its pairs
+            stars = possible(star_pairs(rows, apart))
+            labels = merged(confirmed(stars if ready is None else ready.unionByName(stars).distinct()), "labels")
+            discard(rows)
+            ready, rows = None, stored(mixed(label_members(level, labels)), "mixed")
+        discard(level)
         now = (rows if last else rows.where(F.col("minors") <= rules.leaf)).join(parities, "id")
         pairs = stored(pairs_across(now, lambda x, y: alike(x, y) & same(x, y)), "pairs")
         ready = pairs if ready is None else ready.unionByName(pairs)
@@ -289,8 +303,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
             break
         level = stored(crowded(branches(large.select("key", "id").join(reps.select("id", "sig"), "id"), rules)), "nodes")
         discard(rows)
-    second = confirmed(ready.distinct())
-    joined = stored(components(links.unionByName(second)), "components")
+    joined = merged(confirmed(ready.distinct()), "components")
     own = reps.select("n_shingles", "set1", "set2", "id", F.col("low.key").alias("rep"))
     least = joined.join(own, "id").groupBy("component").agg(F.min("rep").alias("least"))
     of_class = own.join(joined.join(least, "component").select("id", "least"), "id", "left").select(

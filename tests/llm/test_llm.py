@@ -327,6 +327,29 @@ def test_large_groups_branch(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 3, 85)
 
 
+def test_a_dense_family_among_strangers_is_joined_by_few_links(spark, monkeypatch):
+    """The first member of each root is a stranger to the family, which only the last turn finds."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(460):
+        w = list(base)
+        for _ in range(12 if i < 400 else 1):
+            w[rng.randrange(120)] = f"v{rng.randrange(10_000)}"
+        rows.append((i, " ".join(w), "", "", 0, 0.0, ""))
+    seen, components = [], near_dup.components
+
+    def counted(links):
+        seen.append(links.where("a != b").distinct().count())
+        return components(links)
+
+    monkeypatch.setattr(near_dup, "components", counted)
+    rules = near_dup.JoinRules(words=3, percent=85, leaf=2, rounds=1, levels=2)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), rules=rules).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 3, 85)
+    assert max(seen) < 600, seen
+
+
 @pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
 def test_miss_at_the_threshold(n, percent):
     """Calculated for a pair at the threshold: all trees share the coordinates, and every node branches to the end."""
