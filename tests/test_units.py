@@ -513,6 +513,21 @@ def test_knn_visits_few_blocks(spark):
     assert first.count() + then.count() < 3000 * len(cells.rows) / 5
 
 
+def test_knn_sends_a_query_once_where_bounds_rule_nothing_out(spark):
+    """In many dimensions nearly all rings are visited: a query's vector leaves the visit step once and
+    a task's rows are bounded, where it was sent once per ring before."""
+    rng = np.random.default_rng(11)
+    points = rng.normal(0, 1, (900, 32))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    t = [(i, p) for i, p in enumerate(points.tolist())]
+    v = spark.createDataFrame(t, "id long, v array<double>")
+    cells = knn.fit_cells(v, 900, 10)
+    then = knn._visits(v.withColumn("radius", F.lit(1.5)), cells, 6, True)
+    assert len(cells.rows) > 50 and then.count() <= 900
+    got = knn.neighbours(v, v, "id", "v", 5, True, 10)
+    assert sorted((r["query_id"], r["rank"], r["id"]) for r in got.collect()) == _near_by_force(t, t, 5, True)
+
+
 def test_knn_of_nothing(spark):
     none = spark.createDataFrame([], "id long, v array<double>")
     some = spark.createDataFrame([(1, [0.0, 1.0])], "id long, v array<double>")
