@@ -10,7 +10,7 @@ in numpy.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,7 +73,9 @@ def word_grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
         k = k1
     if not buckets:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(buckets), np.concatenate(owners)
+    joined = np.concatenate(buckets)
+    buckets.clear()  # the parts of both lists and both results never stand beside one another
+    return joined, np.concatenate(owners)
 
 
 def word_scores(table: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -122,7 +124,7 @@ class ToxicityModel:
 def fit_subwords(
     texts: list[bytes], labels: np.ndarray, prior: float, dim: int = 8, k: int = TELLING, rounds: int = 16,
     steps: int = 12, rate: float = 0.03, decay: float = 1e-5, least: int = 5, miss_cost: float = 2.7, seed: int = 7,
-    weights_of: list[list[float]] | None = None,
+    weights_of: Iterable[Sequence[float]] | None = None,
 ) -> ToxicityModel:
     """Vectors and softmax by Adam, all texts at once (``weights_of``: texts and weights of `bag_of`).
 
@@ -143,6 +145,7 @@ def fit_subwords(
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     word = rank[word]
+    del hashes
     bucket, owner = word_grams(raw, starts[first[order]], ends[first[order]])
     nwords = len(order)
     share = 1.0 / np.bincount(owner, minlength=nwords)
@@ -152,6 +155,7 @@ def fit_subwords(
     text_of_token = np.repeat(np.arange(len(texts)), np.diff(firsts))
     pairs = np.unique(word.astype(np.int64) * len(texts) + text_of_token)
     in_texts = np.bincount(pairs // len(texts), minlength=nwords).astype(float)
+    del raw, starts, ends, first, order, rank, pairs
     known = np.bincount(bucket, in_texts[owner], BUCKETS) >= least
 
     rng = np.random.default_rng(seed)
@@ -161,21 +165,28 @@ def fit_subwords(
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, weights, biases)]
     step = 0
 
+    def move(value: np.ndarray, grad: np.ndarray, moment: list[np.ndarray]) -> None:
+        """A step of Adam, in place."""
+        m, v = moment
+        m += 0.1 * (grad - m)
+        v += 0.001 * (grad * grad - v)
+        value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+
     def scores() -> np.ndarray:
         table = vectors @ (weights[:, 1] - weights[:, 0])
         return np.bincount(owner, table[bucket], nwords) * share
 
     for turn in range(rounds):
         if turn == 0:
-            chosen = [np.arange(firsts[d], firsts[d + 1]) for d in range(len(texts))]
+            which, token, times = text_of_token, word, weight
             size = np.maximum(np.bincount(text_of_token, weight, len(texts)), 1)
         else:
-            now = scores()[word]
-            chosen = [firsts[d] + telling_words(now[firsts[d] : firsts[d + 1]], k) for d in range(len(texts))]
+            now = scores()
+            chosen = [firsts[d] + telling_words(now[word[firsts[d] : firsts[d + 1]]], k) for d in range(len(texts))]
             size = np.full(len(texts), k)
-        which = np.repeat(np.arange(len(texts)), [len(c) for c in chosen])
-        taken = np.concatenate(chosen)
-        token, times = word[taken], weight[taken] if turn == 0 else np.ones(len(taken))
+            which = np.repeat(np.arange(len(texts)), [len(c) for c in chosen])
+            token = word[np.concatenate(chosen)]
+            times = np.ones(len(token))
         target = labels
         balance = np.where(target == 1, 0.5 / max(target.mean(), 1e-9), 0.5 / max(1 - target.mean(), 1e-9)) / len(texts)
         for _ in range(steps):
@@ -188,15 +199,12 @@ def fit_subwords(
             diff = weights[:, 1] - weights[:, 0]
             pull *= known
             toward = pull @ vectors
-            grads = (
-                np.outer(pull, diff) + decay * vectors,
-                np.stack([-toward, toward], axis=1) + decay * weights,
-                np.array([-delta.sum(), delta.sum()]),
-            )
-            for value, grad, (m, v) in zip((vectors, weights, biases), grads, moments, strict=True):
-                m += 0.1 * (grad - m)
-                v += 0.001 * (grad * grad - v)
-                value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            move(weights, np.stack([-toward, toward], axis=1) + decay * weights, moments[1])
+            move(biases, np.array([-delta.sum(), delta.sum()]), moments[2])
+            for at in range(0, BUCKETS, 1 << 13):  # rows by rows: whole copies would take some 60 MB
+                part = slice(at, at + (1 << 13))
+                grad = np.outer(pull[part], diff) + decay * vectors[part]
+                move(vectors[part], grad, [x[part] for x in moments[0]])
     odds = np.log(miss_cost * prior / (1 - prior))  # the classes had equal weight in training
     return ToxicityModel(vectors @ (weights[:, 1] - weights[:, 0]), float(biases[1] - biases[0] + odds), k)
 
@@ -210,9 +218,9 @@ def held_out(key: str, mod: int, remainder: int) -> Column:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, key: str, text: str, k: int = TELLING
-) -> tuple[list[tuple[bytes, int, list[float]]], float]:
+) -> tuple[list[tuple[bytes, int, np.ndarray]], float]:
     """At most ``per_class`` texts of each label among the rows ``learn`` as (words, label, weights)
-    of `bag_of`, and the share of label 1.
+    of `bag_of`, and the share of label 1.  Weights travel as bytes, which take a fifth of a list.
 
     The choice is by a hash of the key and so the same at each run.  Rows without a label
     or key are no examples; a key with two labels counts as 1, of its texts the least is read.
@@ -231,7 +239,7 @@ def labelled_sample(
         for batch in batches:
             found = [bag_of((value.as_py() or "").encode(), k) for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([w for w, _ in found], pa.binary()), pa.array([n for _, n in found], pa.list_(pa.float64()))],
+                [batch.column(0), pa.array([w for w, _ in found], pa.binary()), pa.array([np.array(n, dtype=">f8").tobytes() for _, n in found], pa.binary())],
                 ["__y", "raw", "weights"],
             )
 
@@ -240,8 +248,10 @@ def labelled_sample(
         F.broadcast(ids.select(F.col(key).alias("__key"), "__y")), "__key"
     )
     texts = chosen.groupBy("__key", "__y").agg(F.min("__text").alias("__text")).select("__y", "__text")
-    rows = texts.mapInArrow(bags, "`__y` int, raw binary, weights array<double>").collect()
-    rows = sorted((bytes(r["raw"]), r["__y"], r["weights"]) for r in rows)
+    rows = texts.mapInArrow(bags, "`__y` int, raw binary, weights binary").collect()
+    # positive numbers with the high byte first sort as their bytes do
+    rows = sorted((bytes(r["raw"]), r["__y"], bytes(r["weights"])) for r in rows)
+    rows = [(raw, y, np.frombuffer(w, dtype=">f8")) for raw, y, w in rows]
     total = sum(shares.values())
     prior = min(max(shares.get(1, 0) / total, 1e-3), 1 - 1e-3) if total else 0.5
     return rows, prior
