@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import load
 from millrace.operators import features, impute, outliers, split, stats
+from millrace.plans import run
+from millrace.plans.config import PrepConfig
 
 
 def plan(df):
@@ -60,3 +62,15 @@ def test_fit_job_counts(spark, sf):
     assert jobs(spark, lambda: features.fit_scale(df, cols, "standard")) <= 2
     assert jobs(spark, lambda: impute.fit_impute(df, {c: "mean" for c in cols})) <= 2
     assert jobs(spark, lambda: outliers.fit_outliers(df, cols, "iqr")) <= 6
+
+
+def test_full_run_fits_outliers_and_selection_once(spark, monkeypatch):
+    """The tables and the plan share the fitted steps, which were fitted twice before."""
+    calls = []
+    for module, name in ((run.outliers, "fit_outliers"), (run.select, "cascade")):
+        whole = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, f=whole, n=name, **k: calls.append(n) or f(*a, **k))
+    df = spark.range(300).selectExpr("id", "cast(id % 17 as double) as a", "cast(id % 5 as double) as b", "cast(id % 17 > 8 as int) as y")
+    whole = run.full_run(spark, df, PrepConfig(target="y", keys=["id"]), with_models=False)
+    assert sorted(calls) == ["cascade", "fit_outliers"]
+    assert "selection" in whole.tables and "outliers" in whole.tables
