@@ -63,6 +63,21 @@ def star_pairs(members: DataFrame, alike: Alike = _any) -> DataFrame:
     )
 
 
+def major_pairs(members: DataFrame, alike: Alike = _any) -> DataFrame:
+    """Of each key whose members have several labels: one member of its most frequent label with
+    the members outside that label; at most one pair per member, whatever the label's size."""
+    whole = F.struct(*[c for c in members.columns if c != "key"])
+    rows = members.select("key", whole.alias("m"))
+    ordered = F.struct("id", *[c for c in members.columns if c not in ("key", "id")])
+    per_label = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min(ordered).alias("first"))
+    leads = per_label.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", -F.col("label"), "first")).alias("top"))
+    lead = leads.where("labels > 1").select("key", F.col("top.first").alias("lead"))
+    return (
+        rows.join(lead, (rows["key"] == lead["key"]) & (F.col("m.label") != F.col("lead.label")) & alike(F.col("m"), F.col("lead")))
+        .select(F.least("m.id", "lead.id").alias("a"), F.greatest("m.id", "lead.id").alias("b")).distinct()
+    )
+
+
 def mixed(members: DataFrame) -> DataFrame:
     """Rows of keys whose members have several labels, with ``minors`` (rows of the key outside
     its most frequent label) and ``minor`` (this is such a row)."""

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, hash_words, in_bitmap, key_bitmap, mix64, shingle_hashes, stored
-from millrace.llm.linking import components, label_members, mixed, pairs_across, star_pairs
+from millrace.llm.linking import components, label_members, major_pairs, mixed, pairs_across, star_pairs
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,8 @@ class JoinRules:
 
 
 PARITIES = 512
+#: Rows whose minwise tokens or pairs of texts a task holds at once.
+SLICE = 1024
 _SALT = [np.uint64(0x632BE59BD9B4E019), np.uint64(0xE220A8397B1DCDAF)]
 
 
@@ -75,6 +77,13 @@ def _longs(bits: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(longs.ravel()), bits.shape[1] // 64).cast(pa.list_(pa.int64()))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches, so that a task's arrays stay small."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def row_hash(key: str, text: str) -> Column:
     """Tells the texts of equal keys apart."""
     return F.xxhash64(F.col(key), F.col(text).cast("string"))
@@ -89,7 +98,7 @@ def signatures(docs: DataFrame, key: str, text: str, rules: JoinRules) -> DataFr
     shifts = mix64(np.arange(1, k + 1, dtype=np.uint64) * _SALT[1])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = batch.num_rows
             size, one, two = (np.zeros(rows, dtype=np.int64) for _ in range(3))
             sig = np.zeros((rows, k), dtype=np.uint64)
@@ -197,7 +206,7 @@ def confirm(
     discard(wanted)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ok = np.zeros(batch.num_rows, dtype=bool)
             other = shingle_sets(batch.column(3), rules.words)
             a_ids, last, kept = batch.column(0).to_pylist(), None, None
@@ -274,9 +283,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     links = confirmed(possible(star_pairs(members, alike))).unionByName(same_key(slim, reps, key))
     labels = stored(components(links), "labels")
 
-    def apart(x: Column, y: Column) -> Column:
-        return (x["label"] != y["label"]) & alike(x, y)
-
     def merged(links: DataFrame, name: str) -> DataFrame:
         """Components of ``links`` on top of the known ones, which count one edge per member."""
         known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
@@ -285,14 +291,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     # nodes with several components: the nearly pure are compared now, the others branch on
     ready, level = None, members
     for turn in range(rules.rounds + 1):
-        rows = stored(mixed(label_members(level, labels)), "mixed")
         last = turn == rules.rounds
-        if last:  # families that are still together: again each node's members against one of them,
-            # so that a family is joined by few links and not by all of its pairs
-            stars = possible(star_pairs(rows, apart))
+        if last:  # families that are still together: the members outside a node's most frequent component against
+            # one of it, so that a family is joined by few links and not by all of its pairs
+            stars = major_pairs(label_members(level, labels).join(parities, "id"), lambda x, y: alike(x, y) & same(x, y))
             labels = merged(confirmed(stars if ready is None else ready.unionByName(stars).distinct()), "labels")
-            discard(rows)
-            ready, rows = None, stored(mixed(label_members(level, labels)), "mixed")
+            ready = None
+        rows = stored(mixed(label_members(level, labels)), "mixed")
         discard(level)
         now = (rows if last else rows.where(F.col("minors") <= rules.leaf)).join(parities, "id")
         pairs = stored(pairs_across(now, lambda x, y: alike(x, y) & same(x, y)), "pairs")

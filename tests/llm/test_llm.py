@@ -350,6 +350,42 @@ def test_a_dense_family_among_strangers_is_joined_by_few_links(spark, monkeypatc
     assert max(seen) < 600, seen
 
 
+def test_the_last_star_forms_no_pairs_that_the_parities_rule_out(spark, monkeypatch):
+    """A large family below the threshold costs few pairs beside a component."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(340):
+        w = list(base)
+        for _ in range(3 if i < 300 else 1):
+            w[rng.randrange(120)] = f"v{rng.randrange(10_000)}"
+        rows.append((i, " ".join(w), "", "", 0, 0.0, ""))
+    made = []
+    for name in ("star_pairs", "major_pairs"):
+        if star := getattr(near_dup, name, None):
+
+            def counted(*args, star=star):
+                out = star(*args)
+                made.append(out.count())
+                return out
+
+            monkeypatch.setattr(near_dup, name, counted)
+    rules = near_dup.JoinRules(words=3, percent=85, leaf=2, rounds=1, levels=1)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), rules=rules).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 3, 85)
+    assert len(made) == 2 and made[1] < made[0], made
+
+
+@pytest.mark.parametrize("rows", [1, 3, 1024])
+def test_short_batches_keep_signatures(spark, monkeypatch, rows):
+    texts = [(i, "" if i % 4 == 0 else " ".join(f"w{(i * j) % 17}" for j in range(i))) for i in range(9)]
+    docs = spark.createDataFrame(texts, "doc_id int, text string").coalesce(1)
+    whole = near_dup.signatures(docs, "doc_id", "text", near_dup.JoinRules()).collect()
+    cut = near_dup._slices
+    monkeypatch.setattr(near_dup, "_slices", lambda batches: cut(batches, rows))
+    assert near_dup.signatures(docs, "doc_id", "text", near_dup.JoinRules()).collect() == whole
+
+
 @pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
 def test_miss_at_the_threshold(n, percent):
     """Calculated for a pair at the threshold: all trees share the coordinates, and every node branches to the end."""
