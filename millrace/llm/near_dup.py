@@ -39,6 +39,9 @@ class JoinRules:
     slack: int = 4
     #: A node with at most so many members outside its most frequent component is compared.
     leaf: int = 32
+    #: The same for nodes that a round of branching has left: what is still together mostly stays so, and a
+    #: member is cheaper to test against these than to deal out again in every round.
+    late_leaf: int = 1024
     #: Rounds of branching by `levels` levels; what is still large then is compared all the same.
     rounds: int = 3
     levels: int = 5
@@ -292,17 +295,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     ready, level = None, members
     for turn in range(rules.rounds + 1):
         last = turn == rules.rounds
-        if last:  # families that are still together: the members outside a node's most frequent component against
-            # one of it, so that a family is joined by few links and not by all of its pairs
+        # families that are still together: the members outside a node's most frequent component against one of it, so
+        # that a family is joined by few links and not by all of its pairs; where rounds are left, twice, as the first
+        # links make a component whose first member may reach the rest
+        for _ in range(0 if not turn else 1 if last else 2):
             stars = major_pairs(label_members(level, labels).join(parities, "id"), lambda x, y: alike(x, y) & same(x, y))
-            labels = merged(confirmed(stars if ready is None else ready.unionByName(stars).distinct()), "labels")
+            labels = merged(confirmed(stars if ready is None else stars.unionByName(ready).distinct()), "labels")
             ready = None
         rows = stored(mixed(label_members(level, labels)), "mixed")
         discard(level)
-        now = (rows if last else rows.where(F.col("minors") <= rules.leaf)).join(parities, "id")
-        pairs = stored(pairs_across(now, lambda x, y: alike(x, y) & same(x, y)), "pairs")
-        ready = pairs if ready is None else ready.unionByName(pairs)
-        large = rows.where(F.col("minors") > rules.leaf)
+        few = F.col("minors") <= (max(rules.leaf, rules.late_leaf) if turn else rules.leaf)
+        now = rows if last else rows.where(few)
+        if turn:
+            pairs = pairs_across(now.join(parities, "id"), lambda x, y: alike(x, y) & same(x, y))
+        else:  # most rows are here; few pairs are left to bring the parities to
+            pairs = possible(pairs_across(now, alike))
+        ready = stored(pairs, "pairs")
+        large = rows.where(~few)
         if last or large.isEmpty():
             discard(rows)
             break

@@ -376,6 +376,29 @@ def test_the_last_star_forms_no_pairs_that_the_parities_rule_out(spark, monkeypa
     assert len(made) == 2 and made[1] < made[0], made
 
 
+def test_a_tight_family_branches_once(spark, monkeypatch):
+    """Members that a round leaves together are joined and compared then, not dealt out again each round."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            w[rng.randrange(120)] = f"v{rng.randrange(10_000)}"
+        rows.append((i, " ".join(w), "", "", 0, 0.0, ""))
+    dealt, branches = [], near_dup.branches
+
+    def counted(nodes, rules):
+        dealt.append(nodes.count())
+        return branches(nodes, rules)
+
+    monkeypatch.setattr(near_dup, "branches", counted)
+    rules = near_dup.JoinRules(words=3, percent=85, leaf=2, levels=2)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), rules=rules).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 3, 85)
+    assert len(dealt) == 1, dealt
+
+
 @pytest.mark.parametrize("rows", [1, 3, 1024])
 def test_short_batches_keep_signatures(spark, monkeypatch, rows):
     texts = [(i, "" if i % 4 == 0 else " ".join(f"w{(i * j) % 17}" for j in range(i))) for i in range(9)]
